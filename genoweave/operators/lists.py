@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from genoweave.functions.text import quoted
 from genoweave.operators.positions import TASK_ROWS, running_position
+from genoweave.session import written
 
 # Entries in one cell.
 PAGE_ITEMS = 10_000
@@ -42,7 +43,7 @@ def paged_texts(
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Concatenates distinct items; `texts` maps an output name to (column, separator)."""
-    pages = with_pages(items, keys, order, page_items, task_rows)
+    pages = with_pages(written(items), keys, order, page_items, task_rows)
     return pages.groupBy(*keys, "page").agg(
         *[ordered_concat(col, sep, order).alias(name) for name, (col, sep) in texts.items()]
     )
@@ -62,7 +63,19 @@ def paged_runs(
     Equal values are counted before anything is shuffled as text; a run that is longer
     than the rest of its page goes on in the next one.
     """
-    runs = rows.groupBy(*keys, value).agg(F.count("*").alias("_copies"))
+    runs = written(value_runs(rows, keys, value))
+    return _run_pages(runs, keys, value, separator, name, page_items, task_rows)
+
+
+def value_runs(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The distinct values per group with the number of their copies."""
+    return rows.groupBy(*keys, value).agg(F.count("*").alias("_copies"))
+
+
+def _run_pages(
+    runs: DataFrame, keys: list[str], value: str, separator: str, name: str, page_items: int,
+    task_rows: int,
+) -> DataFrame:
     placed = running_position(runs, keys, [value], "_start", "_copies", task_rows)
     end = F.col("_start") + F.col("_copies")
     page_start = F.col("page") * page_items
@@ -84,8 +97,14 @@ def group_lists(
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Every group's values as "['a', 'b']", duplicates kept."""
-    entries = rows.select(*keys, quoted(F.col(value)).alias("_entry"))
-    lists = paged_runs(entries, keys, "_entry", ", ", name, page_items, task_rows)
+    return _run_lists(written(value_runs(rows, keys, value)), keys, value, name, page_items, task_rows)
+
+
+def _run_lists(
+    runs: DataFrame, keys: list[str], value: str, name: str, page_items: int, task_rows: int
+) -> DataFrame:
+    entries = runs.withColumn(value, quoted(F.col(value)))
+    lists = _run_pages(entries, keys, value, ", ", name, page_items, task_rows)
     return lists.withColumn(name, F.concat(F.lit("["), F.col(name), F.lit("]")))
 
 
@@ -108,10 +127,10 @@ def join_lists_back(
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Puts on each row the page of its group's list on which its value starts."""
-    runs = rows.groupBy(key, value).agg(F.count("*").alias("_copies"))
+    runs = written(value_runs(rows, [key], value))
     placed = running_position(runs, [key], [value], "_start", "_copies", task_rows)
     starts = placed.select(key, value, F.floor(F.col("_start") / page_items).cast("long").alias("page"))
-    lists = group_lists(rows, [key], value, name, page_items, task_rows)
+    lists = _run_lists(runs, [key], value, name, page_items, task_rows)
     return rows.join(starts, [key, value]).join(lists, [key, "page"])
 
 

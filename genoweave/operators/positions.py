@@ -2,7 +2,7 @@
 
 A window over a group runs in one task. `running_position` therefore measures the
 largest group first. Above the bound the rows are range-partitioned by group and order,
-written to the checkpoint folder, counted per partition, and each partition starts from
+written to the shared folder, counted per partition, and each partition starts from
 the sum of the earlier ones.
 """
 
@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoweave.session import shared_dir
+from genoweave.session import written
 
 # Rows one task may sort for a window.
 TASK_ROWS = 4_000_000
@@ -57,13 +57,10 @@ def running_position(
     if largest_group(df, keys) <= task_rows:
         return df.withColumn(name, before(*keys))
 
-    shared_dir(df.sparkSession)
     columns = df.columns
     ranges = [F.col(key) for key in keys] + sorts
-    ranged = (
-        df.repartitionByRange(*ranges)
-        .withColumn("_segment", F.spark_partition_id())
-        .checkpoint()
+    ranged = written(
+        df.repartitionByRange(*ranges).withColumn("_segment", F.spark_partition_id())
     )
     segments = ranged.groupBy(*keys, "_segment").agg(F.sum(amount).alias("_amount"))
     earlier = (

@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from genoweave.operators.lists import PAGE_ITEMS, paged_texts
 from genoweave.operators.positions import TASK_ROWS, row_numbers
+from genoweave.session import written
 
 
 def string_counts(strings: DataFrame) -> DataFrame:
-    """How often each patient has each peptide string on each chromosome."""
+    """How many rows each patient has with each peptide string on each chromosome.
+
+    `strings` either repeats a string on every row or says in `rows` how many it stands for.
+    """
     present = strings.filter(F.col("pepstr").isNotNull())
-    return present.groupBy("patient", "chrom", "pepstr").agg(F.count("*").alias("count"))
+    amount = F.sum("rows") if "rows" in strings.columns else F.count("*")
+    return present.groupBy("patient", "chrom", "pepstr").agg(amount.alias("count"))
 
 
 def string_totals(counts: DataFrame) -> DataFrame:
@@ -21,7 +26,7 @@ def string_totals(counts: DataFrame) -> DataFrame:
 
 def string_ranks(totals: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """Rank 1 for the most frequent string; ties in the order of the text."""
-    return row_numbers(totals, [], ["strsum desc", "pepstr"], "str_rank", task_rows)
+    return row_numbers(written(totals), [], ["strsum desc", "pepstr"], "str_rank", task_rows)
 
 
 def rank_encode(strings: DataFrame, ranks: DataFrame) -> DataFrame:

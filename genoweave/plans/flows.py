@@ -9,6 +9,7 @@ from genoweave.functions.alleles import (
     code_letters,
     code_peptides,
     genotype_peptides,
+    index_peptides,
     with_allele_slots,
     with_opposite_slots,
 )
@@ -35,19 +36,20 @@ def split_alleles(sites: DataFrame) -> DataFrame:
 
 
 def site_codes(
-    sites: DataFrame, page_items: int = lists.PAGE_ITEMS, task_rows: int = TASK_ROWS
+    sites: DataFrame, keys: tuple[str, ...] = ("gene_name",),
+    page_items: int = lists.PAGE_ITEMS, task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """The decoding dimension: one row per distinct (gene, site, alleles, peptides).
 
     Transcripts that decode alike are merged here, once per site, and the page of the site
     in its gene is fixed here, so the genotypes need no numbering of their own.
     """
-    known = sites.select("gene_name", "rsid", "alleles", "peptides").distinct()
+    known = sites.select(*keys, "rsid", "alleles", "peptides").distinct()
     pages = lists.with_pages(
-        known.select("gene_name", "rsid").distinct(), ["gene_name"], ["rsid"], page_items, task_rows
+        known.select(*keys, "rsid").distinct(), list(keys), ["rsid"], page_items, task_rows
     )
-    return known.join(pages, ["gene_name", "rsid"]).select(
-        "gene_name",
+    return known.join(pages, [*keys, "rsid"]).select(
+        *keys,
         "rsid",
         "page",
         "alleles",
@@ -78,7 +80,7 @@ def gene_peptides(decoded: DataFrame) -> DataFrame:
 def gene_peptides_audit(calls: DataFrame, codes: DataFrame) -> DataFrame:
     """The same strings beside 'genotype-alleles-peptides' of every call they come from."""
     decoded = decode_genotypes(calls, codes, "gt", "alleles", "peptides")
-    trail = F.concat_ws("-", "gt", "alleles", "peptides").alias("trail")
+    trail = F.concat("gt", F.lit("-"), "alleles", F.lit("-"), "peptides").alias("trail")
     order = ["rsid", "trail", "peptide_group"]
     values = decoded.select("patient", "gene_name", "page", "rsid", trail, "peptide_group")
     return values.distinct().groupBy("patient", "gene_name", "page").agg(
@@ -103,12 +105,14 @@ def feature_labels(rsids: DataFrame) -> DataFrame:
 def feature_labels_with_drugs(rsids: DataFrame, drugs: DataFrame) -> DataFrame:
     """Labels 'gene | rsids | drugs' without commas, for genes that have drugs.
 
-    A gene whose drug text takes several pages carries the first one; the whole text
-    stays in the drug table.
+    Page k of a gene's drug text stands in the label of its page k; a text with more pages
+    than the gene has sites for goes on in labels of its own, whose cells are empty.
     """
-    texts = drugs.filter(F.col("drugs_page") == 0).select("gene_name", "gene_drugs")
-    label = gene_label(F.col("gene_name"), F.col("rsids"), F.col("gene_drugs"))
-    return rsids.join(texts, "gene_name").withColumn(
+    texts = drugs.select("gene_name", F.col("drugs_page").alias("page"), "gene_drugs")
+    ours = rsids.join(texts.select("gene_name").distinct(), "gene_name", "left_semi")
+    theirs = texts.join(rsids.select("gene_name").distinct(), "gene_name", "left_semi")
+    label = F.concat_ws(" | ", "gene_name", "rsids", "gene_drugs")
+    return ours.join(theirs, ["gene_name", "page"], "full_outer").withColumn(
         "label", quoted(strip_commas(strip_brackets(label)))
     )
 
@@ -143,6 +147,27 @@ def alt_drug_gene_table(dg_tables: dict[str, DataFrame]) -> DataFrame:
     return dg.drug_gene_texts(pairs, texts)
 
 
+def population_strings(calls: DataFrame, codes: DataFrame) -> DataFrame:
+    """Peptide strings from allele numbers ('0|1'): one per (patient, chrom, gene, page).
+
+    `rows` counts the calls behind a string; calls without a peptide count as well. The
+    counting comes first, so repeated calls are merged before the text is gathered.
+    """
+    keys = ["patient", "chrom", "gene_name", "page"]
+    pair = index_peptides(F.col("gt_idx"), F.col("peptides")).alias("pair")
+    values = calls.join(codes, "rsid").select(*keys, "rsid", pair)
+    merged = values.groupBy(*keys, "rsid", "pair").agg(F.count("*").alias("rows"))
+    return merged.groupBy(*keys).agg(
+        lists.ordered_concat("pair", "", ["rsid", "pair"]).alias("pepstr"),
+        F.sum("rows").alias("rows"),
+    )
+
+
+def with_gene_strings(rows: DataFrame, strings: DataFrame) -> DataFrame:
+    """Each row with the peptide string of its patient, gene and page."""
+    return rows.join(strings, ["patient", "chrom", "gene_name", "page"])
+
+
 def peptide_rank(strings: DataFrame) -> DataFrame:
     """(str_rank, pepstr, strsum) over all patients and chromosomes."""
     return ranks.string_ranks(ranks.string_totals(ranks.string_counts(strings)))

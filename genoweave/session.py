@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "genoweave", cpus: int | None = None) -> SparkSession:
@@ -48,6 +48,17 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a table in the shared folder.
+
+    Used where several later steps need the same expensive rows: they are computed once,
+    in the form they take after merging, and outlive lost executors.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody else writes to, below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
