@@ -2,7 +2,9 @@
 
 from genoweave.plans import (  # noqa: F401
     queries_drugs,
+    queries_files,
     queries_groups,
+    queries_shape,
     queries_sites,
 )
 from genoweave.plans.registry import ORACLES, QUERIES  # noqa: F401
