@@ -22,16 +22,35 @@ def ordered_concat(value: str, separator: str, order: list[str]) -> Column:
     return F.expr(f"listagg({value}, '{separator}') within group (order by {', '.join(order)})")
 
 
+def entry_set(*columns: str) -> Column:
+    """The distinct entries of a group in the order of their fields.
+
+    Equal entries are merged before the shuffle. Only for groups of bounded size, such as
+    the calls of one patient on one page of a gene.
+    """
+    return F.array_sort(F.collect_set(F.struct(*columns)))
+
+
+def joined(entries: str, field: str, separator: str) -> Column:
+    """One field of all entries as text; NULL if no entry has it."""
+    return F.nullif(F.array_join(F.col(f"{entries}.{field}"), separator), F.lit(""))
+
+
 def with_pages(
     items: DataFrame,
     keys: list[str],
     order: list[str],
     page_items: int = PAGE_ITEMS,
     task_rows: int = TASK_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
-    """Adds the page each distinct item falls on."""
-    placed = running_position(items, keys, order, "page", task_rows=task_rows)
-    return placed.withColumn("page", F.floor(F.col("page") / page_items).cast("long"))
+    """Adds the page each item falls on; with `dense` equal items count once."""
+    placed = running_position(items, keys, order, "page", task_rows=task_rows, dense=dense)
+    return placed.withColumn("page", _page(F.col("page"), page_items))
+
+
+def _page(position: Column, page_items: int) -> Column:
+    return F.call_function("div", position, F.lit(page_items))
 
 
 def paged_texts(
@@ -80,8 +99,7 @@ def _run_pages(
     end = F.col("_start") + F.col("_copies")
     page_start = F.col("page") * page_items
     copies = F.least(end, page_start + page_items) - F.greatest(F.col("_start"), page_start)
-    first_page = F.floor(F.col("_start") / page_items).cast("long")
-    last_page = F.floor((end - 1) / page_items).cast("long")
+    first_page, last_page = _page(F.col("_start"), page_items), _page(end - 1, page_items)
     spread = placed.withColumn("page", F.explode(F.sequence(first_page, last_page)))
     again = F.concat(F.lit(separator), F.col(value))
     text = F.concat(F.col(value), F.repeat(again, (copies - 1).cast("int")))
@@ -129,7 +147,7 @@ def join_lists_back(
     """Puts on each row the page of its group's list on which its value starts."""
     runs = written(value_runs(rows, [key], value))
     placed = running_position(runs, [key], [value], "_start", "_copies", task_rows)
-    starts = placed.select(key, value, F.floor(F.col("_start") / page_items).cast("long").alias("page"))
+    starts = placed.select(key, value, _page(F.col("_start"), page_items).alias("page"))
     lists = _run_lists(runs, [key], value, name, page_items, task_rows)
     return rows.join(starts, [key, value]).join(lists, [key, "page"])
 

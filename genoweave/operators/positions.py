@@ -39,16 +39,20 @@ def running_position(
     name: str,
     weight: str | None = None,
     task_rows: int = TASK_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """Adds the number of rows (or the sum of `weight`) before each row of its group.
 
-    `order` has to be total: rows that tie in it must be interchangeable.
+    `order` has to be total: rows that tie in it must be interchangeable. With `dense`
+    rows that tie share a position and the distinct positions before them are counted.
     """
     amount = F.lit(1) if weight is None else F.col(weight)
     sorts = [sort_column(spec) for spec in order]
 
     def before(*partition: str) -> Column:
         window = Window.partitionBy(*partition).orderBy(*sorts)
+        if dense:
+            return F.dense_rank().over(window).cast("long") - 1
         if weight is None:
             return F.row_number().over(window).cast("long") - 1
         earlier = window.rowsBetween(Window.unboundedPreceding, -1)
@@ -62,21 +66,25 @@ def running_position(
     ranged = written(
         df.repartitionByRange(*ranges).withColumn("_segment", F.spark_partition_id())
     )
-    segments = ranged.groupBy(*keys, "_segment").agg(F.sum(amount).alias("_amount"))
+    numbered = ranged.withColumn(name, before(*keys, "_segment"))
+    if dense:
+        # Ties lie in one segment, so a segment's last position tells its distinct ones.
+        sized = numbered.groupBy(*keys, "_segment").agg((F.max(name) + 1).alias("_amount"))
+    else:
+        sized = ranged.groupBy(*keys, "_segment").agg(F.sum(amount).alias("_amount"))
     earlier = (
         Window.partitionBy(*keys)
         .orderBy("_segment")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = segments.select(
+    offsets = sized.select(
         *[F.col(key).alias(f"_key{i}") for i, key in enumerate(keys)],
         F.col("_segment").alias("_of"),
         F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_offset"),
     )
     same = [F.col(key).eqNullSafe(F.col(f"_key{i}")) for i, key in enumerate(keys)]
     condition = reduce(Column.__and__, same, F.col("_segment") == F.col("_of"))
-    numbered = ranged.withColumn(name, before(*keys, "_segment")).join(offsets, condition)
-    return numbered.select(*columns, (F.col(name) + F.col("_offset")).cast("long").alias(name))
+    return numbered.join(offsets, condition).select(*columns, (F.col(name) + F.col("_offset")).cast("long").alias(name))
 
 
 def row_numbers(

@@ -93,7 +93,7 @@ def matrix_features(
     placed = running_position(labels, [], ["gene_name", "page"], "feature", task_rows=task_rows)
     return placed.withColumns(
         {
-            "slice": F.floor(F.col("feature") / slice_columns).cast("long"),
+            "slice": F.call_function("div", F.col("feature"), F.lit(slice_columns)),
             "place": (F.col("feature") % slice_columns).cast("int"),
         }
     )

@@ -45,10 +45,8 @@ def site_codes(
     in its gene is fixed here, so the genotypes need no numbering of their own.
     """
     known = sites.select(*keys, "rsid", "alleles", "peptides").distinct()
-    pages = lists.with_pages(
-        known.select(*keys, "rsid").distinct(), list(keys), ["rsid"], page_items, task_rows
-    )
-    return known.join(pages, [*keys, "rsid"]).select(
+    pages = lists.with_pages(known, list(keys), ["rsid"], page_items, task_rows, dense=True)
+    return pages.select(
         *keys,
         "rsid",
         "page",
@@ -69,23 +67,28 @@ def decode_genotypes(calls: DataFrame, codes: DataFrame, *keep: str) -> DataFram
 
 def gene_peptides(decoded: DataFrame) -> DataFrame:
     """One peptide string per (patient, gene, page), with the ids it is made of."""
-    order = ["rsid", "peptide_group"]
-    values = decoded.select("patient", "gene_name", "page", *order).distinct()
-    return values.groupBy("patient", "gene_name", "page").agg(
-        lists.ordered_concat("rsid", ",", order).alias("rsids"),
-        lists.ordered_concat("peptide_group", "", order).alias("peptide_string"),
+    entries = lists.entry_set("rsid", "peptide_group").alias("entries")
+    return decoded.groupBy("patient", "gene_name", "page").agg(entries).select(
+        "patient",
+        "gene_name",
+        "page",
+        lists.joined("entries", "rsid", ",").alias("rsids"),
+        lists.joined("entries", "peptide_group", "").alias("peptide_string"),
     )
 
 
 def gene_peptides_audit(calls: DataFrame, codes: DataFrame) -> DataFrame:
     """The same strings beside 'genotype-alleles-peptides' of every call they come from."""
     decoded = decode_genotypes(calls, codes, "gt", "alleles", "peptides")
-    trail = F.concat("gt", F.lit("-"), "alleles", F.lit("-"), "peptides").alias("trail")
-    order = ["rsid", "trail", "peptide_group"]
-    values = decoded.select("patient", "gene_name", "page", "rsid", trail, "peptide_group")
-    return values.distinct().groupBy("patient", "gene_name", "page").agg(
-        lists.ordered_concat("trail", ",", order).alias("trails"),
-        lists.ordered_concat("peptide_group", "", order).alias("peptide_string"),
+    trail = F.concat("gt", F.lit("-"), "alleles", F.lit("-"), "peptides")
+    entries = lists.entry_set("rsid", "trail", "peptide_group").alias("entries")
+    groups = decoded.withColumn("trail", trail).groupBy("patient", "gene_name", "page").agg(entries)
+    return groups.select(
+        "patient",
+        "gene_name",
+        "page",
+        lists.joined("entries", "trail", ",").alias("trails"),
+        lists.joined("entries", "peptide_group", "").alias("peptide_string"),
     )
 
 
@@ -150,17 +153,15 @@ def alt_drug_gene_table(dg_tables: dict[str, DataFrame]) -> DataFrame:
 def population_strings(calls: DataFrame, codes: DataFrame) -> DataFrame:
     """Peptide strings from allele numbers ('0|1'): one per (patient, chrom, gene, page).
 
-    `rows` counts the calls behind a string; calls without a peptide count as well. The
-    counting comes first, so repeated calls are merged before the text is gathered.
+    `rows` counts the calls behind a string; calls without a peptide count as well.
     """
     keys = ["patient", "chrom", "gene_name", "page"]
     pair = index_peptides(F.col("gt_idx"), F.col("peptides")).alias("pair")
     values = calls.join(codes, "rsid").select(*keys, "rsid", pair)
-    merged = values.groupBy(*keys, "rsid", "pair").agg(F.count("*").alias("rows"))
-    return merged.groupBy(*keys).agg(
-        lists.ordered_concat("pair", "", ["rsid", "pair"]).alias("pepstr"),
-        F.sum("rows").alias("rows"),
+    groups = values.groupBy(*keys).agg(
+        lists.entry_set("rsid", "pair").alias("entries"), F.count("*").alias("rows")
     )
+    return groups.select(*keys, lists.joined("entries", "pair", "").alias("pepstr"), "rows")
 
 
 def with_gene_strings(rows: DataFrame, strings: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from genoweave.session import spread
+
 GENE = "p_brand||'_'||p_type"
 PART_ID = "'rs'||cast(p_partkey as varchar(20))"
 LINE_ID = "'rs'||cast(l_partkey as varchar(20))"
@@ -126,6 +128,8 @@ class Inputs:
         rows = self.table(table)
         if condition:
             rows = rows.filter(condition)
+        if table == "lineitem":
+            rows = spread(rows, "l_orderkey", "l_linenumber", "l_partkey")
         rows = rows.selectExpr(*columns)
         return rows.distinct() if distinct else rows
 

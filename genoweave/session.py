@@ -18,6 +18,7 @@ def build_session(app: str = "genoweave", cpus: int | None = None) -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -59,6 +60,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffles by well-spread keys, but only where the scan alone leaves cores idle.
+
+    A small file with one row group is read by one task however many cores there are; a
+    table of many files comes back as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody else writes to, below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
