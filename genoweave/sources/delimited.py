@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from genoweave.functions.text import list_text
 from genoweave.sources import schemas
@@ -21,14 +22,18 @@ def read_tsv(
     `keep_null_marker` leaves the NULL marker as text. Gzip files are read by one task
     each, so spread the rows with `repartition` before heavy work on few large ones.
     """
-    reader = spark.read.schema(schema).option("sep", "\t").option("header", header)
+    fields = StructType.fromDDL(schema).fields
+    flags = [f.name for f in fields if isinstance(f.dataType, BooleanType)]
+    raw = StructType([StructField(f.name, StringType() if f.name in flags else f.dataType) for f in fields])
+    reader = spark.read.schema(raw).option("sep", "\t").option("header", header)
     reader = reader.option("quote", "").option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
     if keep_null_marker:
         # An empty field is still a missing value.
         reader = reader.option("nullValue", "")
     else:
         reader = reader.option("nullValue", NULL_MARKER)
-    return reader.csv(path)
+    # The files write flags as 1/0 or t/f, which only a cast understands.
+    return reader.csv(path).withColumns({f: F.col(f).try_cast("boolean") for f in flags})
 
 
 def read_variation(spark: SparkSession, path: str) -> DataFrame:
