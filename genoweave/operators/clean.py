@@ -67,6 +67,25 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     return values.groupBy("column", "value").agg(F.count("*").alias("count"))
 
 
+def sorted_by(df: DataFrame, *order: str | Column) -> DataFrame:
+    """A total sort. All other columns and the input partition break ties, so rows with
+    one and the same key still spread over several tasks."""
+    keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    named = [o for o in order if isinstance(o, str)]
+    rest = [F.col(c) for c in df.columns if c not in named]
+    return df.orderBy(*keys, *rest, F.spark_partition_id())
+
+
+def by_frequency(profile: DataFrame) -> DataFrame:
+    return sorted_by(profile, F.desc("count"), "column", "value")
+
+
+def by_position(sites: DataFrame, numeric: bool = False) -> DataFrame:
+    """Sorted by coordinate and gene; coordinates are text and sort as text by default."""
+    place = F.col("coordinate").try_cast("long") if numeric else "coordinate"
+    return sorted_by(sites, place, "gene_name")
+
+
 def top_values(profile: DataFrame, k: int) -> DataFrame:
     """The k most frequent values of all columns together."""
     return profile.orderBy(F.desc("count"), "column", "value").limit(k)

@@ -99,7 +99,7 @@ def alternative_gene_drugs(
     alternatives: DataFrame, gene_claims_genes: DataFrame, interaction_claims: DataFrame
 ) -> DataFrame:
     """Distinct (alternative gene, drug claim) pairs, made distinct before the gene hop."""
-    links = interaction_claims.select("gene_claim_id", "drug_claim_id")
+    links = interaction_claims.select("gene_claim_id", "drug_claim_id").distinct()
     own = gene_claims_genes.join(links, "gene_claim_id").select("gene_id", "drug_claim_id")
     hops = alternatives.select("gene_name", "gene_id").distinct()
     return hops.join(own.distinct(), "gene_id").select("gene_name", "drug_claim_id").distinct()

@@ -130,11 +130,10 @@ def ml_matrix(strings: DataFrame, labels: DataFrame, patients: DataFrame,
 def drug_gene_table(dg_tables: dict[str, DataFrame]) -> DataFrame:
     """(gene_name, page, drugs_info) for genes with a direct drug interaction."""
     names = dg.drug_names(dg_tables["drugs"], dg_tables["drug_claims_drugs"])
-    claims = dg.gene_claims(dg_tables["genes"], dg_tables["gene_claims_genes"])
+    claims = dg.gene_claims(dg_tables["genes"], dg_tables["gene_claims_genes"]).distinct()
     texts = dg.claim_texts(names, dg.drug_categories(dg_tables["drug_claim_attributes"]))
-    return dg.drug_gene_texts(
-        dg.gene_drug_claims(claims, dg_tables["interaction_claims"]), texts
-    )
+    links = dg_tables["interaction_claims"].select("gene_claim_id", "drug_claim_id").distinct()
+    return dg.drug_gene_texts(dg.gene_drug_claims(claims, links), texts)
 
 
 def alt_drug_gene_table(dg_tables: dict[str, DataFrame]) -> DataFrame:
@@ -151,13 +150,18 @@ def alt_drug_gene_table(dg_tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def population_strings(calls: DataFrame, codes: DataFrame) -> DataFrame:
+    """Peptide strings of calls by variant id; see `pair_strings`."""
+    return pair_strings(calls.join(codes, "rsid"))
+
+
+def pair_strings(rows: DataFrame) -> DataFrame:
     """Peptide strings from allele numbers ('0|1'): one per (patient, chrom, gene, page).
 
     `rows` counts the calls behind a string; calls without a peptide count as well.
     """
     keys = ["patient", "chrom", "gene_name", "page"]
     pair = index_peptides(F.col("gt_idx"), F.col("peptides")).alias("pair")
-    values = calls.join(codes, "rsid").select(*keys, "rsid", pair)
+    values = rows.select(*keys, "rsid", pair)
     groups = values.groupBy(*keys).agg(
         lists.entry_set("rsid", "pair").alias("entries"), F.count("*").alias("rows")
     )

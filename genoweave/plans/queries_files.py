@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from genoweave.operators import clean
 from genoweave.plans import flows
+from genoweave.plans.queries_groups import pop_codes
 from genoweave.plans.queries_shape import SLICE, strings_and_labels
-from genoweave.plans.registry import query
+from genoweave.plans.registry import SUBQUERIES, query
 from genoweave.session import scratch_path
 from genoweave.sources import delimited, matrix, tables, vcf
 
@@ -93,11 +94,17 @@ def _(x):
     return matrix.read_table(x.spark, path, "numid")
 
 
+SAMPLES = [
+    ("hg001", "gt_idx"),
+    ("hg002", "cast(l_linenumber%2 as varchar(2))||'|'||cast(l_orderkey%2 as varchar(2))"),
+]
+
+
 def vcf_file(x) -> str:
     """Two samples; every line of the table is a site, the meta lines come from its first key."""
     body = x.calls.selectExpr(
         "concat_ws('\t', '1', l_orderkey, rsid, coalesce(ref,'.'), coalesce(alt,'.'), '100', 'PASS', "
-        "'AC='||l_linenumber||';NS=2', 'GT', gt_idx, gt) as value")
+        f"'AC='||l_linenumber||';NS=2', 'GT', {SAMPLES[0][1]}, {SAMPLES[1][1]}) as value")
     heads = ["##fileformat=VCFv4.2", "##source=test", "\t".join([*vcf.FIXED_COLUMNS, "HG001", "HG002"])]
     head = x.table("part").filter("p_partkey=0").select(
         F.explode(F.lit(heads)).alias("value"))
@@ -107,7 +114,7 @@ def vcf_file(x) -> str:
 @query("scan_vcf_long", "calls", " union all ".join(
     "select '1' as chrom, cast(l_orderkey as varchar) as pos, rsid as id, coalesce(ref,'.') as ref, "
     "coalesce(alt,'.') as alt, cast(l_linenumber as varchar) as ac, "
-    f"'{p}' as patient, {c} as gt from calls" for p, c in (("hg001", "gt_idx"), ("hg002", "gt"))))
+    f"'{p}' as patient, {c} as gt from calls" for p, c in SAMPLES))
 def _(x):
     rows = vcf.read_vcf(x.spark, vcf_file(x))
     return rows.select("chrom", "pos", "id", "ref", "alt", vcf.info_value("info", "AC").alias("ac"),
@@ -166,3 +173,40 @@ def _(x):
     path = scratch_path(x.spark, "coding")
     delimited.write_tsv(x.coding, path)
     return delimited.read_coding_snp(x.spark, path).select("name", "transcript", "frame", "alleles", "peptides")
+
+
+@query("table_roundtrip", "sites", "select rsid, gene_name, chrom from sites")
+def _(x):
+    path = scratch_path(x.spark, "table")
+    name = "sites_" + path[-32:]
+    rows = x.sites.select("rsid", "gene_name", "chrom")
+    tables.empty_copy(rows, name, path)
+    tables.append_to(rows.select("chrom", "gene_name", "rsid"), name)
+    return tables.need_table(x.spark, name)
+
+
+@query("catalog_lookup", "coded", "select rsid, alleles, peptides from coded")
+def _(x):
+    path = scratch_path(x.spark, "table")
+    name = f"coding{path[-32:]}_filtered_final_spltal"
+    tables.save_table(clean.coding_sites(x.sites).select("rsid", "alleles", "peptides"), name, path=path)
+    found = tables.tables_like(x.spark, f"coding{path[-32:]}*_spltal")
+    return tables.need_table(x.spark, found[0])
+
+
+SUBQUERIES.update({
+    "two_samples": ("calls", " union all ".join(
+        f"select '{p}' as patient, rsid, {c} as gt_idx, l_orderkey, l_linenumber from calls" for p, c in SAMPLES)),
+    "two_pairs": ("two_samples chrom_pages", SUBQUERIES["pairs"][1].replace("from calls c", "from two_samples c")),
+    "two_strings": ("two_pairs", SUBQUERIES["pop_strings"][1].replace("from pairs", "from two_pairs")),
+})
+
+
+@query("vcf_population_strings", "two_strings", "select * from two_strings")
+def _(x):
+    """Site rows of a call file are joined with the decoding before their calls are exploded."""
+    path = vcf_file(x)
+    sites = vcf.read_vcf_sites(x.spark, path).select(F.col("id").alias("rsid"), "calls")
+    rows = sites.join(pop_codes(x).select("chrom", "gene_name", "page", "rsid", "peptides"), "rsid")
+    samples = vcf.sample_names(vcf.vcf_columns(x.spark, path))
+    return flows.pair_strings(vcf.explode_calls(rows, samples).withColumnRenamed("gt", "gt_idx"))

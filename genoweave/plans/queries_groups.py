@@ -27,7 +27,7 @@ CALL_PROFILE_SQL = " union all ".join(
 
 @query("column_value_counts", "calls", CALL_PROFILE_SQL)
 def _(x):
-    return clean.column_profile(x.calls, CALL_PROFILED).orderBy(F.desc("count"))
+    return clean.by_frequency(clean.column_profile(x.calls, CALL_PROFILED))
 
 
 @query("top_values", "sites",

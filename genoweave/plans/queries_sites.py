@@ -266,20 +266,19 @@ def _(x):
 @query("sort_sites", "coded",
        "select rsid, chrom_start, codons from coded order by chrom_start, codons")
 def _(x):
-    return coded(x).select("rsid", "chrom_start", "codons").orderBy("chrom_start", "codons")
+    return clean.sorted_by(coded(x).select("rsid", "chrom_start", "codons"), "chrom_start", "codons")
 
 
 @query("sort_text_coordinate", "sites",
        "select coordinate, gene_name, rsid from sites order by coordinate, gene_name")
 def _(x):
-    return x.sites.select("coordinate", "gene_name", "rsid").orderBy("coordinate", "gene_name")
+    return clean.by_position(x.sites.select("coordinate", "gene_name", "rsid"))
 
 
 @query("sort_number_coordinate", "sites",
        "select coordinate, gene_name, rsid from sites order by cast(coordinate as bigint), gene_name")
 def _(x):
-    number = F.col("coordinate").cast("long")
-    return x.sites.select("coordinate", "gene_name", "rsid").orderBy(number, "gene_name")
+    return clean.by_position(x.sites.select("coordinate", "gene_name", "rsid"), numeric=True)
 
 
 @query("limit_n", "coded", "select rsid, alleles, peptides from coded order by rsid limit 10")

@@ -74,6 +74,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, max_rows_per_file:
 def write_lines(df: DataFrame, path: str, column: str = "line") -> None:
     """A matrix of ready lines, one folder per slice if there are slices."""
     if "slice" in df.columns:
-        df.select("slice", F.col(column).alias("value")).write.partitionBy("slice").text(path)
+        lines = df.select("slice", F.col(column).alias("value")).hint("rebalance", "slice")
+        lines.write.partitionBy("slice").text(path)
     else:
         df.select(F.col(column).alias("value")).write.text(path)

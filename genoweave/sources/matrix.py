@@ -15,11 +15,15 @@ def _first_line(spark: SparkSession, path: str, marker: str) -> list[str]:
     return line["value"].split()
 
 
-def _token_lines(spark: SparkSession, path: str, marker: str) -> DataFrame:
-    """Every line that is no header, as tokens; the header may be repeated anywhere."""
-    lines = spark.read.text(path)
-    body = lines.filter(~F.trim("value").startswith(marker) & (F.trim("value") != ""))
-    return body.select("value", words(F.col("value")).alias("tokens"))
+def _token_lines(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
+    """Every line that is no header, as tokens. The header may be repeated anywhere, but it
+    has to stay the same; that is checked while the lines are read."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    tokens = lines.select("value", words(F.col("value")).alias("tokens"))
+    repeated = F.col("tokens")[0].startswith(header[0])
+    other = repeated & (F.col("tokens") != F.lit(header))
+    wrong = F.raise_error(F.lit("read files with different columns apart and union them"))
+    return tokens.filter(F.when(other, wrong.cast("boolean")).otherwise(~repeated))
 
 
 def read_matrix(spark: SparkSession, path: str, key: str = "idnum") -> DataFrame:
@@ -28,7 +32,7 @@ def read_matrix(spark: SparkSession, path: str, key: str = "idnum") -> DataFrame
     Lines with more or fewer tokens than the header are left out.
     """
     header = _first_line(spark, path, key)
-    rows = _token_lines(spark, path, key).filter(F.size("tokens") == len(header))
+    rows = _token_lines(spark, path, header).filter(F.size("tokens") == len(header))
     patients = F.lit([name.lower() for name in header[1:]])
     calls = F.slice("tokens", 2, len(header) - 1)
     long = rows.select(F.col("tokens")[0].alias(key), F.posexplode(calls).alias("_at", "gt"))
@@ -38,14 +42,14 @@ def read_matrix(spark: SparkSession, path: str, key: str = "idnum") -> DataFrame
 def read_table(spark: SparkSession, path: str, key: str) -> DataFrame:
     """A narrow whitespace-separated table, all text, lower-case column names."""
     header = _first_line(spark, path, key)
-    rows = _token_lines(spark, path, key).filter(F.size("tokens") == len(header))
+    rows = _token_lines(spark, path, header).filter(F.size("tokens") == len(header))
     return rows.select(*[F.col("tokens")[i].alias(c.lower()) for i, c in enumerate(header)])
 
 
 def rejected_lines(spark: SparkSession, path: str, key: str) -> DataFrame:
     """The lines the two readers leave out, with their token count."""
     header = _first_line(spark, path, key)
-    rows = _token_lines(spark, path, key).filter(F.size("tokens") != len(header))
+    rows = _token_lines(spark, path, header).filter(F.size("tokens") != len(header))
     return rows.select("value", F.size("tokens").alias("tokens"))
 
 

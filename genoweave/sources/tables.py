@@ -14,15 +14,21 @@ def need_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def save_table(df: DataFrame, name: str, overwrite: bool = False) -> DataFrame:
-    """Writes a new table; an existing one only with `overwrite`."""
-    df.write.mode("overwrite" if overwrite else "errorifexists").saveAsTable(name)
+def save_table(
+    df: DataFrame, name: str, overwrite: bool = False, path: str | None = None
+) -> DataFrame:
+    """Writes a new table; an existing one only with `overwrite`. A `path` keeps the files
+    outside the warehouse folder."""
+    writer = df.write.mode("overwrite" if overwrite else "errorifexists")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
-def empty_copy(df: DataFrame, name: str) -> DataFrame:
+def empty_copy(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """A table with the columns of `df` and no rows."""
-    return save_table(df.limit(0), name)
+    return save_table(df.limit(0), name, path=path)
 
 
 def append_to(df: DataFrame, name: str) -> None:
@@ -48,5 +54,9 @@ def union_tables(frames: list[DataFrame]) -> DataFrame:
 
 
 def write_by_chromosome(df: DataFrame, path: str, column: str = "chrom") -> None:
-    """One folder per chromosome; reading `path` gives their union, pruned by filters."""
-    df.write.partitionBy(column).parquet(path)
+    """One folder per chromosome; reading `path` gives their union, pruned by filters.
+
+    Rows are gathered by chromosome first, so tasks do not each write a file per folder;
+    a chromosome with many rows is split over several tasks.
+    """
+    df.hint("rebalance", column).write.partitionBy(column).parquet(path)

@@ -12,39 +12,68 @@ COLUMN_LINE = "#CHROM"
 
 
 def vcf_columns(spark: SparkSession, path: str) -> list[str]:
-    """The column line; all files of the path have to share it."""
-    lines = spark.read.text(path).filter(F.col("value").startswith(COLUMN_LINE))
-    found = lines.distinct().take(2)
-    if len(found) != 1:
-        raise ValueError("read files with different columns apart and union them")
-    return found[0]["value"].split("\t")
+    """The names in the first column line."""
+    line = spark.read.text(path).filter(F.col("value").startswith(COLUMN_LINE)).first()
+    if line is None:
+        raise ValueError(f"no column line in {path}")
+    return line["value"].split("\t")
 
 
-def _data_lines(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.text(path).filter(~F.col("value").startswith("#"))
-    return lines.select("value", F.split("value", "\t", -1).alias("tokens"))
+def _data_lines(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Data lines as fields. Every file has to have the same columns; that is checked while
+    the lines are read, without a pass of its own."""
+    value = F.col("value")
+    other = value.startswith(COLUMN_LINE) & (value != "\t".join(columns))
+    wrong = F.raise_error(F.lit("read files with different columns apart and union them"))
+    data = F.when(other, wrong.cast("boolean")).otherwise(~value.startswith("#"))
+    return spark.read.text(path).filter(data).select("value", F.split("value", "\t", -1).alias("tokens"))
 
 
-def read_vcf(spark: SparkSession, path: str) -> DataFrame:
-    """One row per site and sample: the fixed columns, patient and gt.
+def _fixed(columns: list[str]) -> list[str]:
+    return [c for c in columns[: len(FIXED_COLUMNS)] if c in FIXED_COLUMNS]
+
+
+def _plain(name: str) -> str:
+    return name.lstrip("#").lower()
+
+
+def sample_names(columns: list[str]) -> list[str]:
+    return [name.lower() for name in columns[len(_fixed(columns)) :]]
+
+
+def read_vcf_sites(spark: SparkSession, path: str) -> DataFrame:
+    """One row per site: the fixed columns and all calls as one array, in sample order.
 
-    The samples stay data: the plan does not grow with their number. Files without an INFO
-    column are read as well. Lines with a wrong number of fields are left out.
+    Files without an INFO column are read as well. Lines with a wrong number of fields are
+    left out. Join sites with their annotation in this form, before `explode_calls`: the
+    join then moves one compact row per site and not one per call.
     """
     columns = vcf_columns(spark, path)
-    fixed = [c for c in columns[: len(FIXED_COLUMNS)] if c in FIXED_COLUMNS]
-    samples = F.lit([name.lower() for name in columns[len(fixed) :]])
-    rows = _data_lines(spark, path).filter(F.size("tokens") == len(columns))
-    site = [F.col("tokens")[i].alias(c.lstrip("#").lower()) for i, c in enumerate(fixed)]
-    calls = F.slice("tokens", len(fixed) + 1, len(columns) - len(fixed))
-    long = rows.select(*site, F.posexplode(calls).alias("_at", "gt"))
-    names = [c.lstrip("#").lower() for c in fixed]
-    return long.select(*names, F.element_at(samples, F.col("_at") + 1).alias("patient"), "gt")
+    fixed = _fixed(columns)
+    rows = _data_lines(spark, path, columns).filter(F.size("tokens") == len(columns))
+    site = [F.col("tokens")[i].alias(_plain(c)) for i, c in enumerate(fixed)]
+    calls = F.slice("tokens", len(fixed) + 1, len(columns) - len(fixed)).alias("calls")
+    return rows.select(*site, calls)
+
+
+def explode_calls(sites: DataFrame, samples: list[str]) -> DataFrame:
+    """One row per site and sample, with patient and gt in place of the array.
+
+    The samples stay data: the plan does not grow with their number.
+    """
+    others = [c for c in sites.columns if c != "calls"]
+    long = sites.select(*others, F.posexplode("calls").alias("_at", "gt"))
+    return long.select(*others, F.element_at(F.lit(samples), F.col("_at") + 1).alias("patient"), "gt")
+
+
+def read_vcf(spark: SparkSession, path: str) -> DataFrame:
+    """One row per site and sample: the fixed columns, patient and gt."""
+    return explode_calls(read_vcf_sites(spark, path), sample_names(vcf_columns(spark, path)))
 
 
 def rejected_vcf_lines(spark: SparkSession, path: str) -> DataFrame:
     columns = vcf_columns(spark, path)
-    rows = _data_lines(spark, path).filter(F.size("tokens") != len(columns))
+    rows = _data_lines(spark, path, columns).filter(F.size("tokens") != len(columns))
     return rows.select("value", F.size("tokens").alias("tokens"))
 
 

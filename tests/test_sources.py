@@ -134,8 +134,29 @@ def test_vcf_files_with_different_samples_are_refused(spark, tmp_path):
     for name in ("a", "b"):
         head = "\t".join(vcf.FIXED_COLUMNS + [name])
         (tmp_path / f"{name}.vcf").write_text(head + "\n")
+    with pytest.raises(Exception, match="different columns"):
+        vcf.read_vcf(spark, str(tmp_path / "*.vcf")).collect()
+
+
+def test_file_without_column_line(spark, text_file):
     with pytest.raises(ValueError):
-        vcf.read_vcf(spark, str(tmp_path / "*.vcf"))
+        vcf.vcf_columns(spark, text_file("no.vcf", "##fileformat=VCFv4.2"))
+
+
+def test_matrix_files_with_different_patients_are_refused(spark, text_file):
+    path = text_file("fint", "idnum A B", "1 x y", "idnum A C", "2 x y")
+    with pytest.raises(Exception, match="different columns"):
+        matrix.read_matrix(spark, path).collect()
+
+
+def test_sites_are_annotated_before_their_calls_are_exploded(spark, text_file, frame):
+    path = text_file("pop.vcf", *VCF)
+    sites = vcf.read_vcf_sites(spark, path)
+    assert [r.calls for r in sites.orderBy("pos").collect()] == [["0|0", "1|0"], ["0|1", "./."]]
+    genes = frame("id string, gene_name string", ("rs559462325", "G1"), ("rs559462325", "G2"))
+    long = vcf.explode_calls(sites.join(genes, "id"), vcf.sample_names(vcf.vcf_columns(spark, path)))
+    assert {(r.gene_name, r.patient, r.gt) for r in long.collect()} == {
+        (g, p, c) for g in ("G1", "G2") for p, c in (("hg00096", "0|0"), ("hg00097", "1|0"))}
 
 
 def test_csv_with_lists(spark, frame, tmp_path):
