@@ -41,14 +41,14 @@ def annotate_twice(calls: DataFrame, annotation: DataFrame, genes: DataFrame) ->
     return with_genes(with_annotation(calls, annotation), genes, "name")
 
 
-def keyed_update(target: DataFrame, values: DataFrame, key: str, column: str) -> DataFrame:
-    """`column` of the target, extended by the text of `values` that has the same key.
+def keyed_update(target: DataFrame, values: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """`column` of the target, extended by the text of `values` that has the same keys.
 
     `values` holds one row per key; keys without one keep their text.
     """
-    new = values.select(key, F.col(column).alias("_new"))
+    new = values.select(*keys, F.col(column).alias("_new"))
     text = F.concat(F.col(column), F.coalesce(F.col("_new"), F.lit("")))
-    return target.join(new, key, "left").withColumn(column, text).drop("_new")
+    return target.join(new, keys, "left").withColumn(column, text).drop("_new")
 
 
 def diagnosis_dimension(calls: DataFrame, row_key: str = "1") -> DataFrame:

@@ -183,7 +183,7 @@ def strings_and_labels(x):
 def with_drugs(x):
     strings, rsids = strings_and_labels(x)
     sites = coded(x).select("rsid", "gene_name")
-    annotated = dg.keep_genes_with_drugs(sites, written(flows.drug_gene_table(x.drug_tables)))
+    annotated = dg.keep_genes_with_drugs(sites, flows.drug_gene_table(x.drug_tables))
     drugs = written(dg.header_drugs(annotated))
     return strings, flows.feature_labels_with_drugs(rsids.drop("label"), drugs)
 

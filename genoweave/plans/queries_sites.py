@@ -120,13 +120,11 @@ def _(x):
 
 
 @query("with_patient_literal", "calls",
-       "select rsid, gt, patient||'_name' as name_column, patient as name from calls "
-       "where patient='sz10'")
+       "select rsid, gt, patient||'_name' as name_column, patient as name from calls")
 def _(x):
-    rows = x.calls.filter(F.col("patient") == "sz10")
-    name = F.lit("sz10")
-    return rows.select("rsid", "gt", F.concat(name, F.lit("_name")).alias("name_column"),
-                       name.alias("name"))
+    name = F.col("patient")
+    return x.calls.select("rsid", "gt", F.concat(name, F.lit("_name")).alias("name_column"),
+                          name.alias("name"))
 
 
 @query("diagnosis_dimension", "patients", "select patient, diagnosis from patients")
@@ -228,14 +226,13 @@ def _(x):
 
 
 @query("keyed_update", "sites header",
-       "select g.gene_name, g.page, 'ids:'||coalesce(h.rsids,'') as rsids from "
-       "(select distinct gene_name, cast(0 as bigint) as page from sites) g left join header h "
-       "on g.gene_name=h.gene_name and g.page=h.page")
-def _(x):
-    whole = x.sites.select("gene_name").distinct().withColumn("rsids", F.lit("ids:"))
-    first = flows.header_rsids(codes(x)).filter("page=0").drop("page")
-    updated = joins.keyed_update(whole, first, "gene_name", "rsids")
-    return updated.withColumn("page", F.lit(0).cast("long"))
+       "select g.gene_name, 'ids:'||coalesce(h.rsids,'') as rsids, h.page from "
+       "(select distinct gene_name from sites) g left join header h on g.gene_name=h.gene_name")
+def _(x):
+    rsids = flows.header_rsids(codes(x))
+    genes = x.sites.select("gene_name").distinct().join(rsids.select("gene_name", "page"), "gene_name", "left")
+    blank = genes.withColumn("rsids", F.lit("ids:"))
+    return joins.keyed_update(blank, rsids, ["gene_name", "page"], "rsids")
 
 
 @query("decode_haplotype", "calls site_pages",

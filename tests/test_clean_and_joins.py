@@ -73,7 +73,7 @@ def test_transcripts_fan_out(frame):
 def test_keyed_update(frame):
     target = frame("gene string, pepstr string", ("a", ""), ("b", "x"), ("c", ""))
     values = frame("gene string, pepstr string", ("a", "AA"), ("b", "BB"))
-    rows = {r.gene: r.pepstr for r in joins.keyed_update(target, values, "gene", "pepstr").collect()}
+    rows = {r.gene: r.pepstr for r in joins.keyed_update(target, values, ["gene"], "pepstr").collect()}
     assert rows == {"a": "AA", "b": "xBB", "c": ""}
 
 
