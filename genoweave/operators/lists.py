@@ -43,9 +43,12 @@ def with_pages(
     page_items: int = PAGE_ITEMS,
     task_rows: int = TASK_ROWS,
     dense: bool = False,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the page each item falls on; with `dense` equal items count once."""
-    placed = running_position(items, keys, order, "page", task_rows=task_rows, dense=dense)
+    placed = running_position(
+        items, keys, order, "page", task_rows=task_rows, dense=dense, measured=measured
+    )
     return placed.withColumn("page", _page(F.col("page"), page_items))
 
 

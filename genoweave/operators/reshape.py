@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from genoweave.operators.lists import PAGE_ITEMS, ordered_concat, paged_texts, with_pages
 from genoweave.operators.positions import TASK_ROWS, running_position
+from genoweave.session import written
 
 # Cells of one exported line; the tables the matrix is loaded to stop at 1000 columns.
 SLICE_COLUMNS = 900
@@ -89,8 +90,14 @@ def names_per_group(df: DataFrame, key: str) -> DataFrame:
 def matrix_features(
     labels: DataFrame, slice_columns: int = SLICE_COLUMNS, task_rows: int = TASK_ROWS
 ) -> DataFrame:
-    """Numbers the (gene_name, page) features in gene order and assigns them to slices."""
-    placed = running_position(labels, [], ["gene_name", "page"], "feature", task_rows=task_rows)
+    """Numbers the (gene_name, page) features in gene order and assigns them to slices.
+
+    The labels are written first: the size check, the slice widths, the header and the
+    lines all start from them.
+    """
+    placed = running_position(
+        written(labels), [], ["gene_name", "page"], "feature", task_rows=task_rows
+    )
     return placed.withColumns(
         {
             "slice": F.call_function("div", F.col("feature"), F.lit(slice_columns)),

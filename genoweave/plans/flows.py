@@ -45,7 +45,9 @@ def site_codes(
     in its gene is fixed here, so the genotypes need no numbering of their own.
     """
     known = sites.select(*keys, "rsid", "alleles", "peptides").distinct()
-    pages = lists.with_pages(known, list(keys), ["rsid"], page_items, task_rows, dense=True)
+    pages = lists.with_pages(
+        known, list(keys), ["rsid"], page_items, task_rows, dense=True, measured=sites
+    )
     return pages.select(
         *keys,
         "rsid",

@@ -175,7 +175,7 @@ def _header_sql(features: str) -> str:
 
 
 def strings_and_labels(x):
-    book = codes(x)
+    book = written(codes(x))
     strings = flows.gene_peptides(flows.decode_genotypes(x.calls, book))
     return strings, flows.feature_labels(flows.header_rsids(book))
 

@@ -65,6 +65,7 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("at"),
     )
     sizes = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    # One row per file block, so a single task numbers the blocks of any input.
     before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         F.col("file").alias("_file"), F.col("block").alias("_block"), "first",

@@ -80,8 +80,8 @@ def rejected_vcf_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_vcf_meta(spark: SparkSession, path: str) -> DataFrame:
     """(key, value) of every meta line."""
     lines = spark.read.text(path).filter(F.col("value").startswith(META))
-    part = lambda n: F.regexp_extract("value", "^##([^=]*)=(.*)$", n)
-    return lines.select(part(1).alias("key"), part(2).alias("value"))
+    key, value = (F.regexp_extract("value", "^##([^=]*)=(.*)$", n) for n in (1, 2))
+    return lines.select(key.alias("key"), value.alias("value"))
 
 
 def info_value(info: str, key: str):

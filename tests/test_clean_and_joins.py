@@ -49,6 +49,27 @@ def test_gene_map_and_annotation(frame):
     assert {(r.rsid, r.pos, r.gene_name) for r in rows} == {("rs14160", 72017, "LRRD1"), ("rs14160", 558151, "LRRD1")}
 
 
+def test_ids_of_a_gene_on_its_rows(frame):
+    kept = clean.drop_equal(frame(CALL_SCHEMA, *CALLS), "ref", "alt")
+    rows = flows.gene_lists(flows.annotate_genes(kept, *genes(frame))).collect()
+    assert [(r.gene_name, r.page, r.rsids_list) for r in rows] == [("LRRD1", 0, "['rs14160', 'rs14160']")] * 2
+
+
+def test_sorts_are_total(spark, frame):
+    sites = frame("coordinate string, gene_name string, rsid string", ("9", "b", "r1"), ("10", "a", "r2"),
+                  ("9", "a", "r3"), ("x", "a", "r4"))
+    assert [r.rsid for r in clean.by_position(sites).collect()] == ["r2", "r3", "r1", "r4"]
+    assert [r.rsid for r in clean.by_position(sites, numeric=True).collect()] == ["r4", "r3", "r1", "r2"]
+    # Rows with one and the same key still fall into several range partitions.
+    same = spark.range(0, 4000, numPartitions=8).select(F.lit("k").alias("coordinate"), F.lit("g").alias("gene_name"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        filled = clean.by_position(same).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert filled > 4
+
+
 def test_one_variant_with_several_genes(frame):
     calls = frame("rsid string, gt string", ("rs6680825", "G/G"), ("rs4096712", "G/G"))
     named = frame("rs_name string, gene_name string", *[("rs6680825", g) for g in ("G7", "G8")],

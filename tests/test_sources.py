@@ -187,7 +187,7 @@ def test_catalog(spark, frame):
         assert tables.save_table(df, name, overwrite=True).count() == 1
         tables.append_to(df.select("b", "a"), name)
         assert tables.need_table(spark, name).count() == 2
-        assert tables.tables_like(spark, "*filtered_final_spltal") == [name]
+        assert tables.tables_like(spark, "x_*final_spltal") == [name]
         spark.sql("drop table if exists empty_like_x")
         assert tables.empty_copy(df, "empty_like_x").count() == 0
     finally:
