@@ -49,7 +49,7 @@ def read_coding_snp(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_drug_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    return read_tsv(spark, path, schemas.DRUG_TABLES[table])
+    return read_tsv(spark, path, schemas.drug_table(table))
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:

@@ -19,19 +19,42 @@ PROVENANCE = (
     "source string, genome string, reference_consortium string, table_name string, "
     "schema_link string, table_link string, documentation_link string, date_downloaded string"
 )
-DRUG_TABLES = {
-    "drugs": "id string, name string",
-    "drug_claims_drugs": "drug_id string, drug_claim_id string",
-    "genes": "id string, name string, long_name string",
-    "gene_claims_genes": "gene_id string, gene_claim_id string",
+DRUG_TABLE_COLUMNS = {
+    "drug_claim_aliases": "id drug_claim_id alias description nomenclature",
+    "drug_claim_attributes": "id drug_claim_id name value description",
+    "drug_claim_types": "id type",
+    "drug_claim_types_drug_claims": "drug_claim_id drug_claim_type_id",
+    "drug_claims": "id name description nomenclature source_id primary_name",
+    "drug_claims_drugs": "drug_id drug_claim_id",
+    "drugs": "id name",
+    "gene_claim_aliases": "id gene_claim_id alias description nomenclature",
+    "gene_claim_attributes": "id gene_claim_id name value description",
+    "gene_claim_categories": "id name",
+    "gene_claim_categories_gene_claims": "gene_claim_id gene_claim_category_id",
+    "gene_claims": "id name description nomenclature source_id",
+    "gene_claims_genes": "gene_id gene_claim_id",
+    "gene_gene_interaction_claim_attributes": "id gene_gene_interaction_claim_id name value",
+    "gene_gene_interaction_claims": "id gene_id interacting_gene_id source_id",
+    "genes": "id name long_name",
+    "interaction_claim_attributes": "id interaction_claim_id name value",
+    "interaction_claim_types": "id type",
+    "interaction_claim_types_interaction_claims": "interaction_claim_type_id interaction_claim_id",
     "interaction_claims": (
-        "id string, drug_claim_id string, gene_claim_id string, interaction_type string, "
-        "description string, source_id string, known_action_type string"
+        "id drug_claim_id gene_claim_id interaction_type description source_id known_action_type"
     ),
-    "drug_claim_attributes": (
-        "id string, drug_claim_id string, name string, value string, description string"
-    ),
-    "gene_gene_interaction_claims": (
-        "id string, gene_id string, interacting_gene_id string, source_id string"
+    "schema_migrations": "version",
+    "source_trust_levels": "id level",
+    "source_types": "id type display_name",
+    "sources": (
+        "id source_db_name source_db_version citation base_url site_url full_name source_type_id "
+        "gene_claims_count drug_claims_count interaction_claims_count "
+        "interaction_claims_in_groups_count gene_claims_in_groups_count "
+        "drug_claims_in_groups_count source_trust_level_id gene_gene_interaction_claims_count"
     ),
 }
+
+
+def drug_table(name: str) -> str:
+    """The schema of a drug table: counts are numbers, everything else is text."""
+    kinds = {c: "int" if c.endswith("_count") else "string" for c in DRUG_TABLE_COLUMNS[name].split()}
+    return ", ".join(f"{column} {kind}" for column, kind in kinds.items())
