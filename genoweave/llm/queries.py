@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from genoweave.llm import bpe_pieces, main_text, packing, rules, token_orc, toxicity
-from genoweave.llm.common import table
+from genoweave.llm import bpe_pieces, main_text, packing, pivot_index, rules, simhash, token_orc, toxicity
+from genoweave.llm.common import keep_in, table
 from genoweave.session import scratch_path
 
 LIBRARY_FILE = "byte_bpe_50k.json"
@@ -19,6 +20,11 @@ def op1_token_orc(spark: SparkSession, folder: str) -> DataFrame:
     return token_orc.token_spans(spark, path)
 
 
+def op3_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = keep_in(pivot_index.integer_vectors(table(spark, folder, "embeddings")), "vectors")
+    return pivot_index.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path(LIBRARY_FILE))
 
@@ -32,6 +38,11 @@ def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.extract(table(spark, folder, "pages"))
 
 
+def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.classify(docs, toxicity.fit(docs, table(spark, folder, "labels")))
@@ -45,6 +56,6 @@ def op10_bpe_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_orc, op4_best_fit_packing, op5_quality_rules, op6_main_text, op8_toxicity, op10_bpe_pieces)
+    for f in (op1_token_orc, op3_pivot_top_k, op4_best_fit_packing, op5_quality_rules, op6_main_text, op7_simhash_near_dedup, op8_toxicity, op10_bpe_pieces)
 }
 ORACLES: dict[str, str] = {}
