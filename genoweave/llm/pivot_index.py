@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import keep_in, partitions
+from genoweave.llm.common import keep_in
 
 SAMPLE, PIVOTS = 4096, 48
 #: Vectors in a block, and in a sub-annulus of it; queries in a block.
@@ -131,8 +131,6 @@ def fit_space(distinct: DataFrame) -> Space | None:
 
 def build_index(distinct: DataFrame, space: Space) -> DataFrame:
     """Blocks of the index: `block`, `pivot`, `low`, `high` and packed `radii`, `vecs`, `ids`."""
-    spark = distinct.sparkSession
-
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             away = space.away(space.lengthen(unpack(batch.column("vec")))) if len(batch) else np.zeros((0, 1))
@@ -162,7 +160,7 @@ def build_index(distinct: DataFrame, space: Space) -> DataFrame:
             yield block(rest)
 
     keyed = keep_in(distinct.mapInArrow(key, "pivot int, radius double, vec binary, ids array<long>"), "keyed")
-    dealt = keyed.repartitionByRange(partitions(spark), "pivot", "radius", F.xxhash64("vec")).sortWithinPartitions("pivot", "radius")
+    dealt = keyed.repartitionByRange("pivot", "radius", F.xxhash64("vec")).sortWithinPartitions("pivot", "radius")
     blocks = dealt.mapInArrow(pack, "pivot int, low double, high double, radii binary, vecs binary, ids array<array<long>>")
     return keep_in(blocks.withColumn("block", F.monotonically_increasing_id()), "index")
 
@@ -175,8 +173,6 @@ _BLOCK = pa.schema(
 def _visit(queries: DataFrame, index: DataFrame, space: Space, k: int, own: bool) -> DataFrame:
     """`query_id`, `vec_id`, `score`: the k best of every visited block. `queries` has `query_id`,
     `vec`, `least` (the k-th score so far or null), `home`; `own` visits the home pivot, else the others."""
-    spark = queries.sparkSession
-
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per block of queries and pivot to visit, with the distances that matter."""
         for whole in batches:
@@ -211,7 +207,7 @@ def _visit(queries: DataFrame, index: DataFrame, space: Space, k: int, own: bool
                 found = _search_block(row, space, k)
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, j]) for j in range(3)], ["query_id", "vec_id", "score"])
 
-    order = queries.repartitionByRange(partitions(spark), "home", "radius").sortWithinPartitions("home", "radius") if own else queries
+    order = queries.repartitionByRange("home", "radius").sortWithinPartitions("home", "radius") if own else queries
     asked = keep_in(order.mapInArrow(group, "pivot int, `from` double, `to` double, queries binary, asked binary, away binary, least binary"), "asked")
     asked = asked.withColumn("ask", F.monotonically_increasing_id())
     rings = index.select("block", "pivot", "low", "high")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import bpe_pieces, main_text, packing, pivot_index, rules, simhash, token_orc, toxicity
+from genoweave.llm import block_anchors, bpe_pieces, main_text, packing, pivot_index, rules, simhash, token_orc, toxicity
 from genoweave.llm.common import keep_in, table
 from genoweave.session import scratch_path
 
@@ -20,6 +20,11 @@ def op1_token_orc(spark: SparkSession, folder: str) -> DataFrame:
     return token_orc.token_spans(spark, path)
 
 
+def op2_block_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    found = block_anchors.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = keep_in(pivot_index.integer_vectors(table(spark, folder, "embeddings")), "vectors")
     return pivot_index.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
@@ -56,6 +61,6 @@ def op10_bpe_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_orc, op3_pivot_top_k, op4_best_fit_packing, op5_quality_rules, op6_main_text, op7_simhash_near_dedup, op8_toxicity, op10_bpe_pieces)
+    for f in (op1_token_orc, op2_block_anchors, op3_pivot_top_k, op4_best_fit_packing, op5_quality_rules, op6_main_text, op7_simhash_near_dedup, op8_toxicity, op10_bpe_pieces)
 }
 ORACLES: dict[str, str] = {}
