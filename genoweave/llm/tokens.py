@@ -15,13 +15,14 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Cuts that one Python worker remembers; beyond that it starts afresh.
-MEMO = 150_000
+#: Cuts in a generation of a Python worker's memo.
+MEMO = 400_000
 #: Longer cuts are not remembered.
 MEMO_CHARS = 64
 
 _HARD = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
+_INNER = re.compile(r"\s")
 
 
 def cuts(text: str) -> list[str]:
@@ -30,23 +31,48 @@ def cuts(text: str) -> list[str]:
 
 
 class Encoder:
-    """`encode_many` gives the ids of strings that are cuts; `__call__` those of whole texts."""
+    """Ids of whole texts. `encode_many` gives the ids of strings that are cuts.
+
+    The memo has two generations: what the present one lacks is taken over from the one before, so
+    frequent cuts stay. A letter and a full stop or comma after it are always separate pre-tokens,
+    so an unknown cut that ends so is put together from its parts.
+    """
 
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
         self.encode_many = encode_many
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.tails = dict(zip(".,", encode_many([".", ","])))
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        memo, older, tails = self.memo, self.older, self.tails
+        found, cores = {}, {}
+        for x in new:
+            if x in older:
+                found[x] = older[x]
+            else:
+                core = x[:-1] if len(x) > 1 and x[-1] in tails and x[-2].isalpha() else x
+                if core not in memo and core not in older:
+                    cores[core] = None
+        ids = dict(zip(cores, self.encode_many([" " + x for x in cores])))
+        for x in new:
+            if x not in found and x not in ids:
+                core = x[:-1]
+                start = ids.get(core) or memo.get(core) or older[core]
+                found[x] = start + tails[x[-1]]
+        found.update(ids)
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.memo) > MEMO:
+            self.memo, self.older = {}, self.memo
         memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
         split = [cuts(text) for text in texts]
         heads = self.encode_many([x[0] for x in split])  # they have no space in front
         for x in split:
             del x[0]
-        new = list({y: None for x in split for y in x if y not in memo})
-        found = dict(zip(new, self.encode_many([" " + x for x in new])))
+        found = self._learn(list({y for x in split for y in x if y not in memo}))
         memo.update(found)
         out = [head + b"".join([memo[y] for y in x]) for head, x in zip(heads, split)]
         for x in found:
@@ -65,12 +91,34 @@ def library_encoder(path: str) -> Encoder:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    feed = tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def one_by_one(pieces: list[str]) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def many(pieces: list[str]) -> list[bytes]:
-        out = []
-        for k in range(0, len(pieces), 2000):
-            found = tokenizer.encode_batch(pieces[k : k + 2000], add_special_tokens=False)
-            out += [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        """Cuts without inner white space go in one text, a line feed after each; that is a pre-token
+        and a token of its own, since a space or the end of the text follows."""
+        out: list[bytes] = [b""] * len(pieces)
+        joined = [k for k, x in enumerate(pieces) if x[:1] == " " and len(x) > 1 and not _INNER.search(x, 1)]
+        rest = set(range(len(pieces))).difference(joined)
+        for a in range(0, len(joined), 2000):
+            some = joined[a : a + 2000]
+            text = "\n".join([pieces[k] for k in some])
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            at = np.flatnonzero(ids == feed[0]) if len(feed) == 1 else np.zeros(0, int)
+            if len(at) != len(some) - 1:
+                rest.update(some)
+                continue
+            data, begin = ids.tobytes(), 0
+            for k, end in zip(some, [*at.tolist(), len(ids)]):
+                out[k] = data[4 * begin : 4 * end]
+                begin = end + 1
+        left = sorted(k for k in rest if pieces[k])
+        for a in range(0, len(left), 2000):
+            for k, x in zip(left[a : a + 2000], one_by_one([pieces[k] for k in left[a : a + 2000]])):
+                out[k] = x
         return out
 
     return Encoder(many)
