@@ -21,12 +21,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from genoweave.llm.common import keep_in, partitions
 from genoweave.session import scratch_path
 
 #: Bytes of text at which a batch is closed; a longer document is a batch of its own.
 BATCH_BYTES = 6 << 20
+NO_ID = np.iinfo(np.int64).max
 REQUEST = "shard int, batch long, payload binary"
 REPLY = "batch long, shard int, bits binary"
 
@@ -50,7 +52,10 @@ def from_planes(data: bytes, dtype: str) -> np.ndarray:
 
 
 class Batch:
-    """Texts of a batch, separated by a line feed; `begins` and `ends` are their places in `data`."""
+    """Texts of a batch, separated by a line feed; `begins` and `ends` are their places in `data`.
+
+    A null `doc_id` counts as larger than all others.
+    """
 
     def __init__(self, doc_ids: bytes, sizes: bytes, text: bytes):
         self.doc_ids = np.frombuffer(doc_ids, dtype="<i8")
@@ -61,10 +66,19 @@ class Batch:
         self.data = np.frombuffer(self.text, dtype=np.uint8)
 
 
+def with_added(docs: DataFrame, added: str) -> tuple[DataFrame, StructType]:
+    """`docs` without columns that have an added column's name, and the schema of its columns but
+    `text`, with the added ones after them."""
+    new = StructType.fromDDL(added)
+    taken = {x.lower() for x in new.fieldNames()}
+    docs = docs.select(*[F.col(f"`{x}`") for x in docs.columns if x.lower() not in taken])
+    return docs, StructType([*docs.drop("text").schema.fields, *new.fields])
+
+
 def write_batches(docs: DataFrame) -> tuple[DataFrame, int]:
     """The table of batches and their number. All columns of `docs` but `text` travel in `rest`."""
     spark = docs.sparkSession
-    rows = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    rows = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.coalesce("text", F.lit(""))})
     fields = [x for x in rows.columns if x != "text"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +94,7 @@ def write_batches(docs: DataFrame) -> tuple[DataFrame, int]:
                 stream.write_batch(rest)
             row = {
                 "batch": part << 32 | number,
-                "doc_ids": np.array(rest.column("doc_id").to_pylist(), dtype="<i8").tobytes(),
+                "doc_ids": rest.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
                 "sizes": np.array([len(x) for x in texts], dtype="<i8").tobytes(),
                 "text": squeeze(b"".join([x + b"\n" for x in texts])),
                 "rest": squeeze(sink.getvalue().to_pybytes()),

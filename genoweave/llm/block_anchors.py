@@ -12,9 +12,9 @@ smaller document. Hashes have 64 bits in round two; round one's 32 bits within a
 candidates.
 
 Null texts count as empty and hold no words. Texts shorter than a window keep all words. Rows that
-repeat a `doc_id` never remove each other's words (no smaller id), but both lose what a smaller id has. An
-empty table gives no rows. Columns beside `text` are handed through; their names must not be
-`n_words`, `n_removed`, `spans` or `kept` (rename them first).
+repeat a `doc_id` never remove each other's words (no smaller id), but both lose what a smaller id has. A null
+`doc_id` counts as larger than all others. A null `doc_id` counts as larger than all others. An empty table gives no rows. Columns beside `text` are handed
+through, unless an added column has the name.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ from genoweave.llm.batches import (
     shards,
     squeeze,
     windows,
+    with_added,
     word_hashes,
     words,
     write_batches,
@@ -165,9 +166,11 @@ def spans(covered: np.ndarray) -> list[dict]:
     return [{"begin": a, "end": b} for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist())]
 
 
-def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, layout: bool = False) -> DataFrame:
     """The columns of `docs` but `text`, `n_words`, `n_removed`, `spans` (of removed words, by
-    position) and `kept`, the words that stay, joined by one space."""
+    position) and `kept`: the words that stay, joined by one space, or, with `layout`, the text
+    from which removed words are cut with the white space after them."""
+    docs, schema = with_added(docs, ADDED)
     table, number = write_batches(docs)
     count = shards(table, number)
 
@@ -194,28 +197,32 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
                 covered = worded.repeated(row["found"])
                 yield from _rows(row, worded, covered)
 
-    fields = docs.drop("text").schema
-    columns = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in fields)
-    names = [x.name for x in fields]
 
     def _rows(row: dict, worded: Worded, covered: np.ndarray) -> Iterator[pa.RecordBatch]:
         rest, text = others(row["rest"]), worded.batch.text
         removed, held, kept = [], [], []
         for k, (first, n) in enumerate(zip(worded.first.tolist(), worded.n.tolist())):
             away = covered[first : first + n]
-            here = text[worded.batch.begins[k] : worded.batch.ends[k]].split()
-            if away.any():
-                here = [x for x, gone in zip(here, away.tolist()) if not gone]
-            removed.append(n - len(here))
-            held.append(spans(away))
-            kept.append(b" ".join(here).decode())
+            begin, end = int(worded.batch.begins[k]), int(worded.batch.ends[k])
+            gone = spans(away)
+            removed.append(int(away.sum()))
+            held.append(gone)
+            if layout:
+                stays, at = [], begin
+                for x in gone:
+                    stays.append(text[at : worded.begins[first + x["begin"]]])
+                    at = int(worded.begins[first + x["end"]]) if x["end"] < n else end
+                kept.append(b"".join([*stays, text[at:end]]).decode())
+            else:
+                here = text[begin:end].split()
+                kept.append(b" ".join([x for x, y in zip(here, away.tolist()) if not y] if gone else here).decode())
         added = [
             pa.array(worded.n.astype(np.int64)),
             pa.array(removed, pa.int64()),
             pa.array(held, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
             pa.array(kept, pa.string()),
         ]
-        whole = pa.RecordBatch.from_arrays([*(rest.column(x) for x in names), *added], [*names, "n_words", "n_removed", "spans", "kept"])
+        whole = pa.RecordBatch.from_arrays([*rest.columns, *added], [*rest.schema.names, "n_words", "n_removed", "spans", "kept"])
         for begin in range(0, len(whole), 1000):
             yield whole.slice(begin, 1000)
 
@@ -223,4 +230,4 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     near = table.select("batch", "doc_ids", "sizes", "text").join(hits, "batch", "left")
     found = ask(near.mapInArrow(look_up, REQUEST), judge_windows)
     every = table.join(hits, "batch", "left").join(found.withColumnRenamed("answers", "found"), "batch", "left")
-    return every.mapInArrow(cut, f"{columns}, {ADDED}" if columns else ADDED)
+    return every.mapInArrow(cut, schema)

@@ -13,7 +13,7 @@ entry before it. Queues hold `HELD` tuples in memory and the rest in files, so a
 for the text and a block per queue, not for the order. The common prefix of two neighbours in a
 queue is one more than the least one met between the two suffixes that put them there, so it is carried
 along and never recomputed, but for the first entry of a bucket's halves. Common prefixes are cut off at
-`most`.
+`most`, and suffixes that agree in `most` symbols may come in any order.
 """
 
 from __future__ import annotations
@@ -39,12 +39,12 @@ class DiskQueue:
         self.path, self.parts, self.size, self.stored = os.path.join(folder, name), [], 0, 0
 
     def put(self, places: np.ndarray, common: np.ndarray) -> None:
-        self.parts.append(np.stack([places, common.astype(np.int64)], axis=1))
+        self.parts.append((places, common))
         self.size += len(places)
         if self.size - self.stored > HELD:
             with open(self.path, "ab") as out:
                 for part in self.parts:
-                    out.write(part.tobytes())
+                    out.write(np.stack(part, axis=1).astype(np.int64).tobytes())
             self.stored, self.parts = self.size, []
 
     def take(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -58,9 +58,10 @@ class DiskQueue:
                     rows = np.frombuffer(block, np.int64).reshape(-1, 2)
                     yield rows[:, 0], rows[:, 1]
             os.remove(self.path + ".read")
-        for part in parts:
-            if len(part):
-                yield part[:, 0], part[:, 1]
+        if len(parts) > 1:
+            yield np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+        elif parts and len(parts[0][0]):
+            yield parts[0]
 
 
 def types(text: np.ndarray) -> np.ndarray:
@@ -89,8 +90,8 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) ->
     return out
 
 
-def by_doubling(names: np.ndarray) -> np.ndarray:
-    """The suffix order of a string of names, in memory."""
+def by_doubling(names: np.ndarray, enough: int) -> np.ndarray:
+    """The suffix order of a string of names, in memory, by its first `enough` names at least."""
     rank = np.unique(names, return_inverse=True)[1].astype(np.int64)
     n, width = len(names), 1
     while True:
@@ -100,9 +101,9 @@ def by_doubling(names: np.ndarray) -> np.ndarray:
         new = np.ones(n, np.int64)
         new[1:] = (rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1])
         rank[order] = np.cumsum(new) - 1
-        if rank[order[-1]] == n - 1:
-            return order
         width *= 2
+        if rank[order[-1]] == n - 1 or width >= enough:
+            return order
 
 
 class InducedSorter:
@@ -127,7 +128,7 @@ class InducedSorter:
         (symbol, own, places, common) in scan order; `own` tells induced ones from seeds."""
         text, most = self.text, self.most
         queues = self._queues("large" if large else "small")
-        least = np.full(65536, FAR, np.int64)  # common prefix met since a symbol's queue last grew
+        least = np.full(int(self.symbols[-1]) + 1, FAR, np.int64)  # common prefix met since a symbol's queue last grew
         last: int | None = None
         for symbol in self.symbols.tolist() if large else self.symbols[::-1].tolist():
             queue = queues[symbol]
@@ -157,18 +158,22 @@ class InducedSorter:
         order = np.argsort(first, kind="stable")
         edge = np.flatnonzero(np.diff(first[order])) + 1
         seen = []
-        for group in np.split(at[order], edge) if len(at) else ():
+        cuts = [0, *edge.tolist(), len(at)]
+        at = at[order]
+        for a, b in zip(cuts[:-1], cuts[1:]) if len(at) else ():
+            group = at[a:b]
             symbol = int(text[source[group[0]]])
             seen.append(symbol)
-            begin = np.concatenate([[0], group[:-1] + 1])
+            begin = np.zeros(len(group), np.int64)
+            begin[1:] = group[:-1] + 1
             spans = np.minimum.reduceat(common[: group[-1] + 1], begin)
             spans[0] = min(spans[0], least[symbol])
             queues[symbol].put(source[group], np.minimum(spans + 1, self.most))
             after = common[group[-1] + 1 :]
             least[symbol] = after.min() if len(after) else FAR
-        others = np.ones(len(least), bool)
-        others[seen] = False
-        least[others] = np.minimum(least[others], common.min())
+        kept = least[seen]
+        np.minimum(least, common.min(), out=least)
+        least[seen] = kept
 
     def _induced(self, seeds: np.ndarray, common: np.ndarray, out) -> None:
         """Both passes from seeds in order; `out(places, common)` gets the order from its end."""
@@ -240,4 +245,4 @@ class InducedSorter:
             return ordered
         if len(inner) > INNER:
             raise MemoryError("deal the text to more shards")
-        return seeds[by_doubling(inner)]
+        return seeds[by_doubling(inner, self.most)]

@@ -24,7 +24,6 @@ from fractions import Fraction
 from math import ceil
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,9 +124,9 @@ def pack_pieces(pieces: DataFrame, size: int) -> DataFrame:
         parts = -(-rows // PART_ROWS)
         last, base = parts == 1, turn
 
-        def pack(frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
-            lengths = frame["length"].to_numpy()
+        def pack(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
+            lengths = rows.column("length").to_numpy()
             bins, offsets, fill = best_fit(lengths, size)
             certified = len(fill) == lower_bound(lengths, size)
             # A partition that the bound certifies sends on its worst bin alone, the others the bins
@@ -138,14 +137,13 @@ def pack_pieces(pieces: DataFrame, size: int) -> DataFrame:
             if not last:
                 send[order[: min(extra, max(1, len(fill) // 4))]] = True
                 send &= fill < size
-            part = int(frame["part"].iloc[0])
-            number = ((base << 24 | part) << 24 | bins) * 2 + 1
-            frame = frame.drop(columns="part").assign(sequence_id=number, offset=offsets, again=send[bins])
-            return frame
+            number = ((base << 24 | rows.column("part")[0].as_py()) << 24 | bins) * 2 + 1
+            rows = rows.drop_columns("part").append_column("sequence_id", pa.array(number))
+            return rows.append_column("offset", pa.array(offsets)).append_column("again", pa.array(send[bins]))
 
         # Equal lengths are dealt evenly: the key is a hash of the row, not of its length.
         dealt = left.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(parts)).cast("int"))
-        packed = keep_in(dealt.groupBy("part").applyInPandas(pack, PACKED + ", again boolean"), "packed")
+        packed = keep_in(dealt.groupBy("part").applyInArrow(pack, PACKED + ", again boolean"), "packed")
         done.append(packed.filter("not again").drop("again"))
         left = packed.filter("again").select(*pieces.columns)
         turn, rows = turn + 1, left.count()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import block_anchors, bpe_pieces, main_text, packing, pivot_index, rules, simhash, token_orc, toxicity
+from genoweave.llm import block_anchors, bpe_pieces, main_text, packing, pivot_index, rules, simhash, suffix_shards, token_orc, toxicity
 from genoweave.llm.common import keep_in, table
 from genoweave.session import scratch_path
 
@@ -53,6 +53,12 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def op9_suffix_shards(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_shards.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), digest)
+
+
 def op10_bpe_pieces(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS_FILE), public_tokenizers.PATTERN
     encoded = bpe_pieces.encode_documents(table(spark, folder, "documents"), path, pattern)
@@ -61,6 +67,6 @@ def op10_bpe_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_orc, op2_block_anchors, op3_pivot_top_k, op4_best_fit_packing, op5_quality_rules, op6_main_text, op7_simhash_near_dedup, op8_toxicity, op10_bpe_pieces)
+    for f in (op1_token_orc, op2_block_anchors, op3_pivot_top_k, op4_best_fit_packing, op5_quality_rules, op6_main_text, op7_simhash_near_dedup, op8_toxicity, op9_suffix_shards, op10_bpe_pieces)
 }
 ORACLES: dict[str, str] = {}

@@ -32,13 +32,15 @@ RULES: list[tuple[str, str | None, float | None, float | None, int]] = [
     ("n_repeat_words", "n_words", None, 0.2, 0),
 ]
 
+MEASURES = "n_words word_chars n_symbols n_lines n_dup_lines n_stop_words n_repeat_words".split()
 SPACE = r"[\x20\x09-\x0D]+"
 WORD_RUN = 5
 
 
 def measure(docs: DataFrame, *keep: str) -> DataFrame:
-    """`keep` and the measures: `n_words`, `word_chars`, `n_symbols`, `n_lines`, `n_dup_lines`,
+    """Columns to `keep` (a measure of the same name replaces one) and the measures: `n_words`, `word_chars`, `n_symbols`, `n_lines`, `n_dup_lines`,
     `n_stop_words`, `n_repeat_words`."""
+    keep = tuple(x for x in keep if x not in MEASURES)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(*[F.col(x) for x in keep], text.alias("_text"))
     words = F.filter(F.split("_text", SPACE), lambda x: x != "")
@@ -70,8 +72,7 @@ def measure(docs: DataFrame, *keep: str) -> DataFrame:
         "_starts",
         F.when(F.size(F.array_distinct("_runs")) < F.size("_runs"), starts).otherwise(F.expr("array()").cast("array<int>")),
     )
-    return rows.select(
-        *[F.col(x) for x in keep],
+    measures = [
         F.size("_words").cast("long").alias("n_words"),
         F.char_length(F.regexp_replace("_text", SPACE, "")).cast("long").alias("word_chars"),
         F.char_length(F.regexp_replace("_text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -82,7 +83,11 @@ def measure(docs: DataFrame, *keep: str) -> DataFrame:
         .otherwise(0)
         .cast("long")
         .alias("n_repeat_words"),
-    )
+    ]
+    # Out of a one-element array: a filter on a measure then stays above, where the planner would
+    # otherwise repeat the whole expression for each use of the measure.
+    rows = rows.select(*[F.col(x) for x in keep], F.explode(F.array(F.struct(*measures))).alias("_measures"))
+    return rows.select(*keep, "_measures.*")
 
 
 def ratio(measure: str, divisor: str | None) -> Column:

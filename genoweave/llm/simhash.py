@@ -15,7 +15,8 @@ annulus too.
 Shards yield spanning edges, never all pairs. Equal fingerprints are one row throughout.
 
 Null texts count as empty: fingerprint zero, linked like any other. Repeated rows share a
-fingerprint. An empty table gives no rows. Columns other than `doc_id` and `text` are not read.
+fingerprint. Rows with a null `doc_id` tie nothing together; they get the component of their
+fingerprint, or null if no other row has it. An empty table gives no rows. Columns other than `doc_id` and `text` are not read.
 """
 
 from __future__ import annotations
@@ -196,7 +197,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFra
     """`doc_id`, `fp` and `component_id`, the smallest `doc_id` reachable over links."""
     marked = keep_in(fingerprints(docs, width), "fingerprints")
     points = keep_in(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "points")
-    tied = components(links(points, radius)).withColumnRenamed("node", "rep")
+    tied = components(links(points.filter("rep is not null"), radius)).withColumnRenamed("node", "rep")
+    # `tied` has few rows; points without a link are their own component.
     known = points.join(tied, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return marked.join(known, "fp").select("doc_id", "fp", "component_id")
 

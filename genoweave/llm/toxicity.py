@@ -55,7 +55,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 def held_out(doc_id: Column) -> Column:
     """Rows that nothing is learned from."""
-    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
 def word_features(word: str) -> tuple[str, ...]:
