@@ -92,17 +92,18 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) ->
 
 def by_doubling(names: np.ndarray, enough: int) -> np.ndarray:
     """The suffix order of a string of names, in memory, by its first `enough` names at least."""
-    rank = np.unique(names, return_inverse=True)[1].astype(np.int64)
+    rank = names.astype(np.int64)  # dense: 0, 1, 2, ...
     n, width = len(names), 1
     while True:
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - width)] = rank[width:] + 1
-        order = np.lexsort((after, rank))
+        pair = rank * (n + 1)
+        pair[: max(0, n - width)] += rank[width:] + 1
+        order = np.argsort(pair)
+        pair = pair[order]
         new = np.ones(n, np.int64)
-        new[1:] = (rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1])
+        new[1:] = pair[1:] != pair[:-1]
         rank[order] = np.cumsum(new) - 1
         width *= 2
-        if rank[order[-1]] == n - 1 or width >= enough:
+        if new.all() or width >= enough:
             return order
 
 
@@ -123,7 +124,7 @@ class InducedSorter:
         self.number += 1
         return {int(s): DiskQueue(self.folder, f"{kind}{self.number}-{s}") for s in self.symbols}
 
-    def _pass(self, seeds: dict[int, DiskQueue], large: bool, out) -> None:
+    def _pass(self, seeds: dict[int, DiskQueue], large: bool, carry: bool, out) -> None:
         """Induces one type from the suffixes in `seeds`, per symbol in scan order, handing on blocks
         (symbol, own, places, common) in scan order; `own` tells induced ones from seeds."""
         text, most = self.text, self.most
@@ -139,14 +140,14 @@ class InducedSorter:
                     rounds = False
                     for places, common in (queue if own else seeds[symbol]).take():
                         rounds = own  # equal symbols in a row put entries into the queue being read
-                        common = common.copy()
-                        if first_of_half:
+                        if carry and first_of_half:
+                            common = common.copy()
                             # Another first symbol before it, or the other half of this symbol.
                             common[0] = 0 if last is None else common_prefix(text, np.array([last]), places[:1], most)[0]
                             first_of_half = False
                         last = int(places[-1])
                         out(symbol, own, places, common)
-                        self._induce(places, common, queues, least, large)
+                        self._induce(places, common, queues, least if carry else None, large)
 
     def _induce(self, places, common, queues, least, large) -> None:
         text, small = self.text, self.small
@@ -163,6 +164,9 @@ class InducedSorter:
         for a, b in zip(cuts[:-1], cuts[1:]) if len(at) else ():
             group = at[a:b]
             symbol = int(text[source[group[0]]])
+            if least is None:
+                queues[symbol].put(source[group], group)
+                continue
             seen.append(symbol)
             begin = np.zeros(len(group), np.int64)
             begin[1:] = group[:-1] + 1
@@ -171,20 +175,23 @@ class InducedSorter:
             queues[symbol].put(source[group], np.minimum(spans + 1, self.most))
             after = common[group[-1] + 1 :]
             least[symbol] = after.min() if len(after) else FAR
+        if least is None:
+            return
         kept = least[seen]
         np.minimum(least, common.min(), out=least)
         least[seen] = kept
 
-    def _induced(self, seeds: np.ndarray, common: np.ndarray, out) -> None:
-        """Both passes from seeds in order; `out(places, common)` gets the order from its end."""
+    def _induced(self, seeds: np.ndarray, common: np.ndarray, carry: bool, out) -> None:
+        """Both passes from seeds in order; `out(places, common)` gets the order from its end.
+        Common prefixes are right only if they are carried."""
         sown, large = self._queues("seed"), self._queues("induced")
         self._sow(sown, seeds, common)
-        self._pass(sown, True, lambda s, own, p, c: large[s].put(p, c) if own else None)
+        self._pass(sown, True, carry, lambda s, own, p, c: large[s].put(p, c) if own else None)
         # Descending: common prefixes now refer to the entry after, so shift them within each symbol.
         turned = self._queues("turned")
         for symbol, queue in large.items():
             self._turn(queue, turned[symbol])
-        self._pass(turned, False, lambda s, own, p, c: out(p, c))
+        self._pass(turned, False, carry, lambda s, own, p, c: out(p, c))
         # Nothing follows the end of the text that could induce it; it is the smallest suffix.
         out(np.array([len(self.text) - 1]), np.zeros(1, np.int64))
 
@@ -210,7 +217,7 @@ class InducedSorter:
         common = np.zeros(len(seeds), np.int64)
         common[1:] = common_prefix(self.text, seeds[:-1], seeds[1:], self.most)
         places, shared = [], []
-        self._induced(seeds, common, lambda p, c: (places.append(p), shared.append(c)))
+        self._induced(seeds, common, True, lambda p, c: (places.append(p), shared.append(c)))
         order, after = np.concatenate(places)[::-1], np.concatenate(shared)[::-1]
         return order, np.concatenate([[0], after[:-1]])
 
@@ -223,7 +230,7 @@ class InducedSorter:
         found = []
         marked = np.zeros(len(text), bool)
         marked[seeds] = True
-        self._induced(start, np.zeros(len(start), np.int64), lambda p, c: found.append(p[marked[p]]))
+        self._induced(start, np.zeros(len(start), np.int64), False, lambda p, c: found.append(p[marked[p]]))
         ordered = np.concatenate(found)[::-1]
         next_seed = np.zeros(len(text), np.int64)
         next_seed[seeds[:-1]] = seeds[1:]

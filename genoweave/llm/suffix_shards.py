@@ -176,23 +176,19 @@ def judge_anchors(payloads: list[bytes]) -> list[np.ndarray]:
     return np.split(more[which], np.cumsum([len(x) for x in keys])[:-1])
 
 
-def judge_segments(payloads: list[bytes], length: int) -> list[np.ndarray]:
-    """Whether each string starts in a smaller document than the smallest one of its request."""
-    seen: dict[bytes, int] = {}
-    which, least, strings = [], [], []
-    for payload in payloads:
-        a, b = int.from_bytes(payload[:4], "little"), int.from_bytes(payload[4:8], "little")
-        strings.append(from_planes(expand(payload[8 : 8 + a]), "<i8"))
-        least.append(from_planes(expand(payload[8 + a : 8 + a + b]), "<i8"))
-        text, at = expand(payload[8 + a + b :]), 0
-        here = []
-        for n in strings[-1].tolist():
-            here.append(seen.setdefault(text[at : at + n + length - 1], len(seen)))
-            at += n + length - 1
-        which.append(np.array(here))
-    contents = list(seen)
-    first = np.full(len(contents), np.iinfo(np.int64).max)
-    np.minimum.at(first, np.concatenate(which), np.concatenate(least))
+def contested(contents: list[bytes], length: int) -> np.ndarray:
+    """Whether another segment has the same anchor."""
+    data = np.frombuffer(b"".join(contents), np.uint8)
+    begins = np.concatenate([[0], np.cumsum([len(x) for x in contents])])[:-1]
+    grams = gram_hashes(data)
+    spans = np.stack([begins, np.minimum(begins + length - GRAM + 1, len(grams))], axis=1).ravel()
+    anchors = np.minimum.reduceat(np.append(grams, np.uint64(2**64 - 1)), spans)[::2]
+    _, which, copies = np.unique(anchors, return_inverse=True, return_counts=True)
+    return copies[which] > 1
+
+
+def smallest_documents(contents: list[bytes], first: np.ndarray, length: int) -> np.ndarray:
+    """For each string of each segment, the smallest document that any segment with it has."""
     # One text: segments with a separator (1) after each, and the end (0); bytes are 2 and up.
     sizes = np.array([len(x) for x in contents])
     begins = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
@@ -220,8 +216,34 @@ def judge_segments(payloads: list[bytes], length: int) -> list[np.ndarray]:
     np.minimum.at(smallest, group, first[segment_of[found]])
     of_start = np.zeros(len(text), np.int64)
     of_start[found] = smallest[group]
-    per_string = of_start[place]
-    offset = np.concatenate([[0], np.cumsum(sizes - length + 1)])
+    return of_start[place]
+
+
+def judge_segments(payloads: list[bytes], length: int) -> list[np.ndarray]:
+    """Whether each string starts in a smaller document than the smallest one of its request."""
+    seen: dict[bytes, int] = {}
+    which, least, strings = [], [], []
+    for payload in payloads:
+        a, b = int.from_bytes(payload[:4], "little"), int.from_bytes(payload[4:8], "little")
+        strings.append(from_planes(expand(payload[8 : 8 + a]), "<i8"))
+        least.append(from_planes(expand(payload[8 + a : 8 + a + b]), "<i8"))
+        text, at = expand(payload[8 + a + b :]), 0
+        here = []
+        for n in strings[-1].tolist():
+            here.append(seen.setdefault(text[at : at + n + length - 1], len(seen)))
+            at += n + length - 1
+        which.append(np.array(here))
+    contents = list(seen)
+    first = np.full(len(contents), np.iinfo(np.int64).max)
+    np.minimum.at(first, np.concatenate(which), np.concatenate(least))
+    numbers = np.array([len(x) for x in contents]) - length + 1  # of strings in each segment
+    per_string = np.repeat(first, numbers)
+    # Equal strings have equal anchors: where one segment alone has an anchor, nothing is to be found.
+    rivals = contested(contents, length)
+    if rivals.any():
+        chosen = [x for x, y in zip(contents, rivals.tolist()) if y]
+        per_string[np.repeat(rivals, numbers)] = smallest_documents(chosen, first[rivals], length)
+    offset = np.concatenate([[0], np.cumsum(numbers)])
     out = []
     for w, d, n in zip(which, least, strings):
         run = np.repeat(np.arange(len(w)), n)
@@ -238,7 +260,7 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     docs, schema = with_added(docs, ADDED)
     table, number = write_batches(docs)
     # Every sort has a fixed cost, so shards are fewer and larger than elsewhere.
-    count = max(partitions(table.sparkSession), shards(table, number) // 4)
+    count = max(2 * partitions(table.sparkSession), shards(table, number) // 2)
 
     def anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
