@@ -70,12 +70,15 @@ def genotype_peptides(genotype: Column, letters: Column, peptides: Column) -> Co
 
 
 def index_peptides(genotype: Column, peptides: Column) -> Column:
-    """'0|1' to the unsigned peptides those allele numbers name; NULL for './.'."""
-    numbers = F.split(genotype, "[|/]")
+    """'0|1' to the unsigned peptides those allele numbers name; NULL for './.'.
+
+    Further fields after ':' are ignored. A call of one allele gives its one peptide.
+    """
+    numbers = F.split(F.split(genotype, ":")[0], "[|/]")
     names = F.split(peptides, ",")
 
     def name(n: int) -> Column:
         number = F.try_element_at(numbers, F.lit(n)).try_cast("int")
         return F.nullif(F.try_element_at(names, number + 1), F.lit(""))
 
-    return F.concat(name(1), name(2))
+    return F.when(F.size(numbers) == 1, name(1)).otherwise(F.concat(name(1), name(2)))

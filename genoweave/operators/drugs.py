@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoweave.operators.lists import PAGE_ITEMS, paged_texts
-from genoweave.operators.positions import TASK_ROWS
 
 # Fixed value: the attribute that holds a drug's categories.
 CATEGORY_ATTRIBUTE = "Drug Categories"
@@ -42,14 +41,14 @@ def with_drug_attributes(gene_drugs: DataFrame, drug_claim_attributes: DataFrame
 
 
 def drug_categories(
-    drug_claim_attributes: DataFrame, page_items: int = PAGE_ITEMS, task_rows: int = TASK_ROWS
+    drug_claim_attributes: DataFrame, page_items: int = PAGE_ITEMS
 ) -> DataFrame:
     """The distinct categories of each drug claim, joined with '/'."""
     chosen = drug_claim_attributes.filter(F.col("name") == CATEGORY_ATTRIBUTE)
     values = chosen.select("drug_claim_id", "value").distinct()
     return paged_texts(
         values, ["drug_claim_id"], ["value"], {"drug_categories": ("value", "/")},
-        page_items, task_rows,
+        page_items,
     )
 
 
@@ -63,14 +62,13 @@ def claim_texts(names: DataFrame, categories: DataFrame) -> DataFrame:
 
 def drug_gene_texts(
     gene_drugs: DataFrame, texts: DataFrame, page_items: int = PAGE_ITEMS,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """The distinct drug texts of each gene, joined with blanks."""
     pairs = gene_drugs.select("gene_name", "drug_claim_id").distinct()
     entries = pairs.join(texts, "drug_claim_id").select("gene_name", "drug_text").distinct()
     return paged_texts(
         entries, ["gene_name"], ["drug_text"], {"drugs_info": ("drug_text", " ")},
-        page_items, task_rows,
+        page_items,
     )
 
 
@@ -119,17 +117,20 @@ def keep_genes_with_drugs(rows: DataFrame, drugs_info: DataFrame) -> DataFrame:
     return rows.join(texts, F.col("gene_name") == F.col("gene_name2"))
 
 
-def only_genes_with_drugs(rows: DataFrame, drugs_info: DataFrame) -> DataFrame:
-    """The same rows without the text, for the large genotype side."""
-    return rows.join(drugs_info.select("gene_name").distinct(), "gene_name", "left_semi")
+def genes_with_drugs(
+    gene_drugs: DataFrame, names: DataFrame, drug_claim_attributes: DataFrame
+) -> DataFrame:
+    """The genes that have a drug text, found without building any text."""
+    categorised = drug_claim_attributes.filter(
+        (F.col("name") == CATEGORY_ATTRIBUTE) & F.col("value").isNotNull()
+    )
+    usable = names.filter("drug_name is not null").join(categorised, "drug_claim_id", "left_semi")
+    return gene_drugs.join(usable, "drug_claim_id", "left_semi").select("gene_name").distinct()
 
 
-def header_drugs(annotated: DataFrame, page_items: int = PAGE_ITEMS,
-                 task_rows: int = TASK_ROWS) -> DataFrame:
-    """The distinct drug texts per gene for the header."""
-    texts = annotated.select("gene_name", "drugs_page", "drugs_info").distinct()
-    joined = paged_texts(
-        texts, ["gene_name"], ["drugs_info", "drugs_page"], {"gene_drugs": ("drugs_info", " ")},
-        page_items, task_rows,
+def header_drugs(genes: DataFrame, drugs_info: DataFrame) -> DataFrame:
+    """The drug texts of the header's genes; only the gene names meet the texts."""
+    texts = drugs_info.join(genes.select("gene_name").distinct(), "gene_name", "left_semi")
+    return texts.select(
+        "gene_name", F.col("page").alias("drugs_page"), F.col("drugs_info").alias("gene_drugs")
     )
-    return joined.withColumnRenamed("page", "drugs_page")

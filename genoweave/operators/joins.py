@@ -44,9 +44,11 @@ def annotate_twice(calls: DataFrame, annotation: DataFrame, genes: DataFrame) ->
 def keyed_update(target: DataFrame, values: DataFrame, keys: list[str], column: str) -> DataFrame:
     """`column` of the target, extended by the text of `values` that has the same keys.
 
-    `values` holds one row per key; keys without one keep their text.
+    `values` holds one row per key, else the query fails; keys without one keep their text.
     """
-    new = values.select(*keys, F.col(column).alias("_new"))
+    twice = F.raise_error(F.lit("an update has more than one row for a key")).cast("string")
+    text = F.when(F.count("*") == 1, F.max(column)).otherwise(twice)
+    new = values.groupBy(*keys).agg(text.alias("_new"))
     text = F.concat(F.col(column), F.coalesce(F.col("_new"), F.lit("")))
     return target.join(new, keys, "left").withColumn(column, text).drop("_new")
 

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.functions.text import quoted
-from genoweave.operators.positions import TASK_ROWS, running_position
+from genoweave.functions.text import list_text, quoted
+from genoweave.operators.positions import running_position
 from genoweave.session import written
 
 # Entries in one cell.
@@ -41,13 +41,11 @@ def with_pages(
     keys: list[str],
     order: list[str],
     page_items: int = PAGE_ITEMS,
-    task_rows: int = TASK_ROWS,
     dense: bool = False,
-    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the page each item falls on; with `dense` equal items count once."""
     placed = running_position(
-        items, keys, order, "page", task_rows=task_rows, dense=dense, measured=measured
+        items, keys, order, "page", dense=dense
     )
     return placed.withColumn("page", _page(F.col("page"), page_items))
 
@@ -62,10 +60,9 @@ def paged_texts(
     order: list[str],
     texts: dict[str, tuple[str, str]],
     page_items: int = PAGE_ITEMS,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Concatenates distinct items; `texts` maps an output name to (column, separator)."""
-    pages = with_pages(written(items), keys, order, page_items, task_rows)
+    pages = with_pages(written(items), keys, order, page_items)
     return pages.groupBy(*keys, "page").agg(
         *[ordered_concat(col, sep, order).alias(name) for name, (col, sep) in texts.items()]
     )
@@ -78,7 +75,6 @@ def paged_runs(
     separator: str,
     name: str,
     page_items: int = PAGE_ITEMS,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Concatenates values in their own order, duplicates kept.
 
@@ -86,7 +82,7 @@ def paged_runs(
     than the rest of its page goes on in the next one.
     """
     runs = written(value_runs(rows, keys, value))
-    return _run_pages(runs, keys, value, separator, name, page_items, task_rows)
+    return _run_pages(runs, keys, value, separator, name, page_items)
 
 
 def value_runs(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -96,9 +92,8 @@ def value_runs(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def _run_pages(
     runs: DataFrame, keys: list[str], value: str, separator: str, name: str, page_items: int,
-    task_rows: int,
 ) -> DataFrame:
-    placed = running_position(runs, keys, [value], "_start", "_copies", task_rows)
+    placed = running_position(runs, keys, [value], "_start", "_copies")
     end = F.col("_start") + F.col("_copies")
     page_start = F.col("page") * page_items
     copies = F.least(end, page_start + page_items) - F.greatest(F.col("_start"), page_start)
@@ -115,26 +110,25 @@ def _run_pages(
 
 def group_lists(
     rows: DataFrame, keys: list[str], value: str, name: str, page_items: int = PAGE_ITEMS,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Every group's values as "['a', 'b']", duplicates kept."""
-    return _run_lists(written(value_runs(rows, keys, value)), keys, value, name, page_items, task_rows)
+    return _run_lists(written(value_runs(rows, keys, value)), keys, value, name, page_items)
 
 
 def _run_lists(
-    runs: DataFrame, keys: list[str], value: str, name: str, page_items: int, task_rows: int
+    runs: DataFrame, keys: list[str], value: str, name: str, page_items: int
 ) -> DataFrame:
     entries = runs.withColumn(value, quoted(F.col(value)))
-    lists = _run_pages(entries, keys, value, ", ", name, page_items, task_rows)
+    lists = _run_pages(entries, keys, value, ", ", name, page_items)
     return lists.withColumn(name, F.concat(F.lit("["), F.col(name), F.lit("]")))
 
 
 def group_arrays(
     rows: DataFrame, keys: list[str], value: str, order: list[str], name: str,
-    page_items: int = PAGE_ITEMS, task_rows: int = TASK_ROWS,
+    page_items: int = PAGE_ITEMS,
 ) -> DataFrame:
     """Every group's values as an array in the given (total) order, duplicates kept."""
-    pages = with_pages(rows, keys, order, page_items, task_rows)
+    pages = with_pages(rows, keys, order, page_items)
     entry = F.struct(*[F.col(o) for o in order], F.col(value).alias("_value"))
     return (
         pages.groupBy(*keys, "page")
@@ -143,21 +137,27 @@ def group_arrays(
     )
 
 
-def join_lists_back(
-    rows: DataFrame, key: str, value: str, name: str, page_items: int = 100,
-    task_rows: int = TASK_ROWS,
-) -> DataFrame:
-    """Puts on each row the page of its group's list on which its value starts."""
-    runs = written(value_runs(rows, [key], value))
-    placed = running_position(runs, [key], [value], "_start", "_copies", task_rows)
-    starts = placed.select(key, value, _page(F.col("_start"), page_items).alias("page"))
-    lists = _run_lists(runs, [key], value, name, page_items, task_rows)
-    return rows.join(starts, [key, value]).join(lists, [key, "page"])
+def rows_and_lists(
+    rows: DataFrame, key: str, value: str, order: list[str], name: str, page_items: int = PAGE_ITEMS,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with the number of `pages` of their group's list, and the lists: (key, page, name).
+
+    A list holds every row's value in the given (total) order. Both relations are complete; the text
+    is not copied to the rows. `with_lists` does that.
+    """
+    arrays = group_arrays(rows, [key], value, order, "_values", page_items)
+    texts = written(arrays.select(key, "page", list_text(F.col("_values")).alias(name)))
+    pages = texts.groupBy(key).agg((F.max("page") + 1).alias("pages"))
+    return rows.join(pages, key), texts
+
+
+def with_lists(rows: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """Each row once per page of its group's list, with the page: rows times pages."""
+    return rows.join(texts, key)
 
 
 def distinct_concat(
     df: DataFrame, key: str, separator: str = "", page_items: int = PAGE_ITEMS,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Per group and column the distinct values, sorted and joined; columns as text."""
     columns = [c for c in df.columns if c != key]
@@ -165,7 +165,7 @@ def distinct_concat(
     entries = text.unpivot([key], columns, "column", "value").distinct()
     entries = entries.filter(F.col("value").isNotNull())
     joined = paged_texts(
-        entries, [key, "column"], ["value"], {"text": ("value", separator)}, page_items, task_rows
+        entries, [key, "column"], ["value"], {"text": ("value", separator)}, page_items
     )
     cell = {c: F.max(F.when(F.col("column") == c, F.col("text"))).alias(c) for c in columns}
     return joined.groupBy(key, "page").agg(*cell.values())
@@ -173,8 +173,8 @@ def distinct_concat(
 
 def ids_by_gene(
     rows: DataFrame, separator: str, key: str = "gene_name", value: str = "rsid",
-    name: str = "rsids", page_items: int = PAGE_ITEMS, task_rows: int = TASK_ROWS,
+    name: str = "rsids", page_items: int = PAGE_ITEMS,
 ) -> DataFrame:
     """The distinct values per group in order."""
     entries = rows.select(key, value).distinct()
-    return paged_texts(entries, [key], [value], {name: (value, separator)}, page_items, task_rows)
+    return paged_texts(entries, [key], [value], {name: (value, separator)}, page_items)

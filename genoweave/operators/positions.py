@@ -1,9 +1,8 @@
 """Exact row positions inside groups, also where one group holds most of the rows.
 
-A window over a group runs in one task. `running_position` therefore measures the
-largest group first. Above the bound the rows are range-partitioned by group and order,
-written to the shared folder, counted per partition, and each partition starts from
-the sum of the earlier ones.
+The rows are range-partitioned by group and order, written to the shared folder and numbered within
+each partition and group; each partition starts from the sum of the earlier ones. No task sees more than
+its own range, whatever the groups are.
 """
 
 from __future__ import annotations
@@ -15,38 +14,24 @@ from pyspark.sql import functions as F
 
 from genoweave.session import written
 
-# Rows one task may sort for a window.
-TASK_ROWS = 4_000_000
-
-
 def sort_column(spec: str) -> Column:
     """'name' or 'name desc' as a sort expression."""
     name, _, direction = spec.partition(" ")
     return F.col(name).desc() if direction == "desc" else F.col(name).asc()
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """The row count of the biggest group; one number reaches the driver."""
-    if not keys:
-        return df.count()
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def running_position(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     name: str,
     weight: str | None = None,
-    task_rows: int = TASK_ROWS,
     dense: bool = False,
-    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the number of rows (or the sum of `weight`) before each row of its group.
 
     `order` has to be total: rows that tie in it must be interchangeable. With `dense`
     rows that tie share a position and the distinct positions before them are counted.
-    `measured` has groups at least as large as those of `df` and is cheaper to count.
     """
     amount = F.lit(1) if weight is None else F.col(weight)
     sorts = [sort_column(spec) for spec in order]
@@ -60,9 +45,6 @@ def running_position(
         earlier = window.rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(amount).over(earlier), F.lit(0)).cast("long")
 
-    if largest_group(df if measured is None else measured, keys) <= task_rows:
-        return df.withColumn(name, before(*keys))
-
     columns = df.columns
     ranges = [F.col(key) for key in keys] + sorts
     ranged = written(
@@ -74,6 +56,7 @@ def running_position(
         sized = numbered.groupBy(*keys, "_segment").agg((F.max(name) + 1).alias("_amount"))
     else:
         sized = ranged.groupBy(*keys, "_segment").agg(F.sum(amount).alias("_amount"))
+    # One row per segment and group that meet: few, also where this runs in one task.
     earlier = (
         Window.partitionBy(*keys)
         .orderBy("_segment")
@@ -89,14 +72,6 @@ def running_position(
     return numbered.join(offsets, condition).select(*columns, (F.col(name) + F.col("_offset")).cast("long").alias(name))
 
 
-def row_numbers(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    name: str = "row",
-    task_rows: int = TASK_ROWS,
-) -> DataFrame:
+def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str = "row") -> DataFrame:
     """1, 2, 3 ... inside each group."""
-    return running_position(df, keys, order, name, task_rows=task_rows).withColumn(
-        name, F.col(name) + 1
-    )
+    return running_position(df, keys, order, name).withColumn(name, F.col(name) + 1)

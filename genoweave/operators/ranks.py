@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoweave.operators.lists import PAGE_ITEMS, paged_texts
-from genoweave.operators.positions import TASK_ROWS, row_numbers
+from genoweave.operators.positions import row_numbers
 from genoweave.session import written
 
 
@@ -24,17 +24,24 @@ def string_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("pepstr").agg(F.sum("count").alias("strsum"))
 
 
-def string_ranks(totals: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+def string_ranks(totals: DataFrame) -> DataFrame:
     """Rank 1 for the most frequent string; ties in the order of the text."""
-    return row_numbers(written(totals), [], ["strsum desc", "pepstr"], "str_rank", task_rows)
+    return row_numbers(written(totals), [], ["strsum desc", "pepstr"], "str_rank")
+
+
+def text_digest(text: str) -> Column:
+    """128 bits that stand for a long text as a join key."""
+    return F.unhex(F.md5(text))
 
 
 def rank_encode(strings: DataFrame, ranks: DataFrame) -> DataFrame:
-    return strings.join(ranks.select("pepstr", "str_rank"), "pepstr")
+    """Strings with their rank, joined by digest: of the ranks only digest and number travel."""
+    codes = ranks.select(text_digest("pepstr").alias("_digest"), "str_rank")
+    return strings.withColumn("_digest", text_digest("pepstr")).join(codes, "_digest").drop("_digest")
 
 
 def patient_rank_lists(
-    encoded: DataFrame, page_items: int = PAGE_ITEMS, task_rows: int = TASK_ROWS
+    encoded: DataFrame, page_items: int = PAGE_ITEMS
 ) -> DataFrame:
     """Per patient the distinct (rank, gene) pairs as two aligned lists."""
     pairs = encoded.select("patient", "str_rank", F.col("gene_name").alias("gene")).distinct()
@@ -44,6 +51,5 @@ def patient_rank_lists(
         ["str_rank", "gene"],
         {"peptide_string_num": ("str_rank", ","), "gene": ("gene", ",")},
         page_items,
-        task_rows,
     )
     return lists.withColumnRenamed("patient", "hg_patient")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.operators.lists import PAGE_ITEMS, ordered_concat, paged_texts, with_pages
-from genoweave.operators.positions import TASK_ROWS, running_position
+from genoweave.operators.positions import running_position
 from genoweave.session import written
 
 # Cells of one exported line; the tables the matrix is loaded to stop at 1000 columns.
@@ -20,24 +20,38 @@ def to_long(matrix: DataFrame, ids: list[str], patients: list[str] | None = None
     return long.withColumn("patient", F.lower("patient"))
 
 
-def transpose_wide(df: DataFrame, row_key: str, row_names: list[str]) -> DataFrame:
-    """Columns become rows; `row_names` lists the row keys, which become columns.
+def _only(names: list[str], key: str, value: str) -> list[Column]:
+    """One cell per name; a key that is not listed, or comes twice, fails the query."""
+    listed = F.count_if(~F.coalesce(F.col(key).isin(names), F.lit(False))) == 0
+    wrong = F.raise_error(F.concat(F.lit("not listed, or more than once: "), F.lit(key)))
+    return [
+        F.when(listed & (F.count_if(F.col(key) == n) <= 1), F.max(F.when(F.col(key) == n, F.col(value))))
+        .otherwise(wrong.cast("string"))
+        .alias(n)
+        for n in names
+    ]
 
-    For short lists. `transpose_lines` has no such bound.
+
+def transpose_wide(df: DataFrame, row_key: str, row_names: list[str] | None = None) -> DataFrame:
+    """Columns become rows, and the row keys, which have to be unique, become columns.
+
+    For short lists; without `row_names` the keys of the data are taken, in order.
+    `transpose_lines` has no such bound.
     """
+    if row_names is None:
+        keys = df.select(F.col(row_key).cast("string").alias("k")).distinct().orderBy("k")
+        row_names = [r["k"] for r in keys.limit(SLICE_COLUMNS + 1).collect()]
     if len(row_names) > SLICE_COLUMNS:
         raise ValueError(f"more than {SLICE_COLUMNS} rows: use transpose_lines")
     columns = [c for c in df.columns if c != row_key]
     text = df.select(F.col(row_key).cast("string").alias(row_key),
                      *[F.col(c).cast("string").alias(c) for c in columns])
     long = text.unpivot([row_key], columns, "column", "value")
-    cells = [F.max(F.when(F.col(row_key) == n, F.col("value"))).alias(n) for n in row_names]
-    return long.groupBy("column").agg(*cells)
+    return long.groupBy("column").agg(*_only(row_names, row_key, "value"))
 
 
 def transpose_lines(
     df: DataFrame, order: list[str], separator: str = ",", page_items: int = PAGE_ITEMS,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """One line per column with the values of all rows in order, separators removed from
     the values and missing values left empty."""
@@ -46,7 +60,7 @@ def transpose_lines(
                       *[F.translate(F.coalesce(F.col(c).cast("string"), F.lit("")), separator, "")
                         .alias(c) for c in columns])
     sorts = [" ".join([f"_order{i}", *o.split()[1:]]) for i, o in enumerate(order)]
-    paged = with_pages(named, [], sorts, page_items, task_rows)
+    paged = with_pages(named, [], sorts, page_items)
     keep = [f"_order{i}" for i in range(len(order))] + ["page"]
     long = paged.unpivot(keep, columns, "column", "value")
     return long.groupBy("column", "page").agg(
@@ -61,10 +75,10 @@ def column_slices(df: DataFrame, key: str, size: int = SLICE_COLUMNS) -> list[Da
 
 
 def row_slices(
-    df: DataFrame, order: list[str], size: int = 100, task_rows: int = TASK_ROWS
+    df: DataFrame, order: list[str], size: int = 100
 ) -> DataFrame:
     """Adds the number of the horizontal slice of `size` rows."""
-    return with_pages(df, [], order, size, task_rows).withColumnRenamed("page", "slice")
+    return with_pages(df, [], order, size).withColumnRenamed("page", "slice")
 
 
 def records(df: DataFrame, ids: list[str]) -> DataFrame:
@@ -88,7 +102,7 @@ def names_per_group(df: DataFrame, key: str) -> DataFrame:
 
 
 def matrix_features(
-    labels: DataFrame, slice_columns: int = SLICE_COLUMNS, task_rows: int = TASK_ROWS
+    labels: DataFrame, slice_columns: int = SLICE_COLUMNS
 ) -> DataFrame:
     """Numbers the (gene_name, page) features in gene order and assigns them to slices.
 
@@ -96,7 +110,7 @@ def matrix_features(
     lines all start from them.
     """
     placed = running_position(
-        written(labels), [], ["gene_name", "page"], "feature", task_rows=task_rows
+        written(labels), [], ["gene_name", "page"], "feature"
     )
     return placed.withColumns(
         {
@@ -157,5 +171,4 @@ def to_wide(strings: DataFrame, labels: list[str]) -> DataFrame:
     """Patient rows and one column per listed feature label; for short lists."""
     if len(labels) > SLICE_COLUMNS:
         raise ValueError(f"more than {SLICE_COLUMNS} columns: use matrix_lines")
-    cells = [F.max(F.when(F.col("label") == c, F.col("peptide_string"))).alias(c) for c in labels]
-    return strings.groupBy("patient").agg(*cells)
+    return strings.groupBy("patient").agg(*_only(labels, "label", "peptide_string"))

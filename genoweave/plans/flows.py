@@ -17,7 +17,6 @@ from genoweave.functions.text import gene_label, quoted, strip_brackets, strip_c
 from genoweave.operators import drugs as dg
 from genoweave.operators import lists, ranks, reshape
 from genoweave.operators.joins import gene_map, with_genes
-from genoweave.operators.positions import TASK_ROWS
 
 
 def annotate_genes(rows: DataFrame, variation: DataFrame, genename: DataFrame,
@@ -26,9 +25,12 @@ def annotate_genes(rows: DataFrame, variation: DataFrame, genename: DataFrame,
     return with_genes(rows, gene_map(variation, genename), id_column)
 
 
-def gene_lists(annotated: DataFrame, key: str = "gene_name", value: str = "rsid") -> DataFrame:
-    """Annotated rows with the id list of their gene."""
-    return lists.join_lists_back(annotated, key, value, "rsids_list")
+def gene_lists(
+    annotated: DataFrame, order: list[str], key: str = "gene_name", value: str = "rsid",
+    page_items: int = lists.PAGE_ITEMS,
+) -> tuple[DataFrame, DataFrame]:
+    """Annotated variant rows, and the id list of each gene in input order."""
+    return lists.rows_and_lists(annotated, key, value, order, "rsids_list", page_items)
 
 
 def split_alleles(sites: DataFrame) -> DataFrame:
@@ -37,7 +39,7 @@ def split_alleles(sites: DataFrame) -> DataFrame:
 
 def site_codes(
     sites: DataFrame, keys: tuple[str, ...] = ("gene_name",),
-    page_items: int = lists.PAGE_ITEMS, task_rows: int = TASK_ROWS,
+    page_items: int = lists.PAGE_ITEMS,
 ) -> DataFrame:
     """The decoding dimension: one row per distinct (gene, site, alleles, peptides).
 
@@ -46,7 +48,7 @@ def site_codes(
     """
     known = sites.select(*keys, "rsid", "alleles", "peptides").distinct()
     pages = lists.with_pages(
-        known, list(keys), ["rsid"], page_items, task_rows, dense=True, measured=sites
+        known, list(keys), ["rsid"], page_items, dense=True
     )
     return pages.select(
         *keys,
@@ -123,9 +125,9 @@ def feature_labels_with_drugs(rsids: DataFrame, drugs: DataFrame) -> DataFrame:
 
 
 def ml_matrix(strings: DataFrame, labels: DataFrame, patients: DataFrame,
-              slice_columns: int = reshape.SLICE_COLUMNS, task_rows: int = TASK_ROWS):
+              slice_columns: int = reshape.SLICE_COLUMNS):
     """(header lines, patient lines) of the machine-learning matrix."""
-    features = reshape.matrix_features(labels, slice_columns, task_rows)
+    features = reshape.matrix_features(labels, slice_columns)
     return reshape.matrix_header(features), reshape.matrix_lines(strings, features, patients)
 
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from genoweave.session import spread
-
 GENE = "p_brand||'_'||p_type"
 PART_ID = "'rs'||cast(p_partkey as varchar(20))"
 LINE_ID = "'rs'||cast(l_partkey as varchar(20))"
@@ -55,8 +53,10 @@ VIEWS = {
     "calls": ("lineitem", False, [
         f"lower({PATIENT}) as patient", f"{LINE_ID} as rsid", "l_orderkey", "l_linenumber",
         f"{FIRST}||'/'||{SECOND}||{THIRD} as gt",
-        "case when l_orderkey%11=0 then './.' else cast(l_orderkey%2 as varchar(2))||'|'"
-        "||cast(l_linenumber%2 as varchar(2)) end as gt_idx",
+        # Missing calls, calls of one allele, allele numbers up to 2, calls with further fields.
+        "case when l_orderkey%11=0 then './.' when l_orderkey%13=0 then cast(l_linenumber%3 as varchar(2)) "
+        "else cast(l_orderkey%2 as varchar(2))||'|'||cast(l_linenumber%3 as varchar(2))"
+        "||case when l_orderkey%7=0 then ':35' else '' end end as gt_idx",
         f"nullif({FIRST},'0') as ref", f"nullif({SECOND},'0') as alt",
     ]),
     "raw_ids": ("lineitem", False, [f"{PATIENT} as sample", "l_orderkey", "l_linenumber"]),
@@ -132,8 +132,6 @@ class Inputs:
             raise AttributeError(name)
         table, distinct, columns = VIEWS[name]
         rows = self.table(table)
-        if table == "lineitem":
-            rows = spread(rows, "l_orderkey", "l_linenumber", "l_partkey")
         rows = rows.selectExpr(*columns)
         return rows.distinct() if distinct else rows
 

@@ -31,6 +31,12 @@ PEPTIDE_GROUP = (
 )
 
 
+def _named(n: int) -> str:
+    """The peptide that the n-th allele number of a call names."""
+    number = f"try_cast(split_part(split_part(gt_idx,':',1),'|',{n}) as int)+1"
+    return f"nullif(split_part(peptides,',',{number}),'')"
+
+
 def page(keys: str, order: str, items: int) -> str:
     partition = f"partition by {keys} " if keys else ""
     return f"(row_number() over ({partition}order by {order})-1)//{items}"
@@ -81,10 +87,7 @@ SUBQUERIES.update(
         "pairs": (
             "calls chrom_pages",
             "select c.patient, s.chrom, s.gene_name, s.page, c.rsid, c.l_orderkey, c.l_linenumber, "
-            "(case split_part(gt_idx,'|',1) when '0' then split_part(peptides,',',1) "
-            "when '1' then split_part(peptides,',',2) end)||"
-            "(case split_part(gt_idx,'|',2) when '0' then split_part(peptides,',',1) "
-            "when '1' then split_part(peptides,',',2) end) as pair "
+            f"case when contains(gt_idx,'|') then {_named(1)}||{_named(2)} else {_named(1)} end as pair "
             "from calls c join chrom_pages s on c.rsid=s.rsid",
         ),
         "pop_strings": (

@@ -109,14 +109,14 @@ def _(x):
        "select c.patient, c.rsid, c.l_orderkey, c.l_linenumber, s.gene_name from calls c "
        "join coded s on c.rsid=s.rsid where s.gene_name in (select gene_name from drug_texts)")
 def _(x):
-    rows = x.calls.select("patient", "rsid", "l_orderkey", "l_linenumber").join(
-        coded(x).select("rsid", "gene_name"), "rsid")
-    return dg.only_genes_with_drugs(rows, flows.drug_gene_table(x.drug_tables))
+    """Sites are filtered before the calls meet them, by gene names alone."""
+    genes = dg.genes_with_drugs(gene_drugs(x), labels(x), x.drug_claim_attributes)
+    sites = coded(x).select("rsid", "gene_name").join(genes, "gene_name", "left_semi")
+    return x.calls.select("patient", "rsid", "l_orderkey", "l_linenumber").join(sites, "rsid")
 
 
 @query("header_with_drugs", "coded drug_texts",
        "select s.gene_name, d.page as drugs_page, d.drugs_info as gene_drugs from "
        "(select distinct gene_name from coded) s join drug_texts d on s.gene_name=d.gene_name")
 def _(x):
-    annotated = dg.keep_genes_with_drugs(coded(x).select(*SITE), flows.drug_gene_table(x.drug_tables))
-    return dg.header_drugs(annotated)
+    return dg.header_drugs(coded(x), flows.drug_gene_table(x.drug_tables))

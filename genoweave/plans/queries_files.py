@@ -101,14 +101,17 @@ SAMPLES = [
 
 
 def vcf_file(x) -> str:
-    """Two samples; every line of the table is a site, the meta lines come from its first key."""
+    """Two samples; every line of the table is a site. One meta line counts the sites of the site
+    table, one stands for each of its chromosomes. Beside some lines stands one that is cut off."""
     body = x.calls.selectExpr(
         "concat_ws('\t', '1', l_orderkey, rsid, coalesce(ref,'.'), coalesce(alt,'.'), '100', 'PASS', "
         f"'AC='||l_linenumber||';NS=2', 'GT', {SAMPLES[0][1]}, {SAMPLES[1][1]}) as value")
-    heads = ["##fileformat=VCFv4.2", "##source=test", "\t".join([*vcf.FIXED_COLUMNS, "HG001", "HG002"])]
-    head = x.table("part").filter("p_partkey=0").select(
-        F.explode(F.lit(heads)).alias("value"))
-    return text_lines(x, head.unionByName(body), "vcf")
+    broken = x.calls.filter("l_orderkey%17=0").selectExpr("concat_ws('\t', '1', l_orderkey, rsid) as value")
+    heads = [F.lit("##fileformat=VCFv4.2"), F.concat(F.lit("##sites="), F.count("*")),
+             F.lit("\t".join([*vcf.FIXED_COLUMNS, "HG001", "HG002"]))]
+    head = x.sites.agg(F.array(*heads).alias("heads")).select(F.explode("heads").alias("value"))
+    contigs = x.sites.select("chrom").distinct().selectExpr("'##contig=<ID='||chrom||'>' as value")
+    return text_lines(x, head.unionByName(contigs).unionByName(body).unionByName(broken), "vcf")
 
 
 @query("scan_vcf_long", "calls", " union all ".join(
@@ -121,12 +124,44 @@ def _(x):
                        "patient", "gt")
 
 
-@query("scan_vcf_meta", "",
-       "select 'fileformat' as key, 'VCFv4.2' as value union all select 'source', 'test'")
+@query("scan_vcf_meta", "sites",
+       "select 'fileformat' as key, 'VCFv4.2' as value union all "
+       "select 'sites', cast(count(*) as varchar) from sites union all "
+       "select distinct 'contig', '<ID='||chrom||'>' from sites")
 def _(x):
     return vcf.read_vcf_meta(x.spark, vcf_file(x))
 
 
+@query("scan_vcf_rejects", "calls",
+       "select '1'||chr(9)||l_orderkey||chr(9)||rsid as value, 3 as tokens from calls where l_orderkey%17=0")
+def _(x):
+    return vcf.rejected_vcf_lines(x.spark, vcf_file(x))
+
+
+@query("scan_tsv_rejects", "sites",
+       "select rsid||chr(9)||chrom as value, 2 as tokens from sites where chrom_start%9=0")
+def _(x):
+    """Rows of three fields, beside some of them one of two."""
+    whole = x.sites.selectExpr("concat_ws('\t', rsid, chrom, alleles) as value")
+    short = x.sites.filter("chrom_start%9=0").selectExpr("concat_ws('\t', rsid, chrom) as value")
+    path = text_lines(x, whole.unionByName(short), "tsv")
+    return delimited.rejected_tsv_lines(x.spark, path, "rsid string, chrom string, alleles string")
+
+
+@query("provenance_table", "sites calls",
+       "select 'sites' as table_name, 'part' as source_file, count(*) as n from sites union all "
+       "select 'calls', 'lineitem', count(*) from calls")
+def _(x):
+    """Loaded tables with the file they came from, beside their row counts."""
+    path = scratch_path(x.spark, "provenance")
+    loaded = [("sites", "part", x.sites), ("calls", "lineitem", x.calls)]
+    rows = tables.provenance(x.spark, [(source, "test", None, name, None, None, None, None) for name, source, _ in loaded])
+    tables.save_table(rows, "provenance_" + path[-32:], path=path)
+    kept = tables.need_table(x.spark, "provenance_" + path[-32:])
+    counts = tables.union_tables([df.agg(F.count("*").alias("n")).withColumn("table_name", F.lit(n)) for n, _, df in loaded])
+    return kept.select("table_name", F.col("source").alias("source_file")).join(counts, "table_name")
+
+
 @query("line_numbers", "sites",
        "select row_number() over (order by chrom_start) as line, rsid||' '||alleles as value from sites")
 def _(x):
@@ -168,11 +203,11 @@ def _(x):
     return table.filter("description is null").select("drug_claim_id", "name", "value")
 
 
-@query("coding_snp_scan", "coding", "select name, transcript, frame, alleles, peptides from coding")
+@query("coding_snp_scan", "coding", "select * from coding")
 def _(x):
     path = scratch_path(x.spark, "coding")
     delimited.write_tsv(x.coding, path)
-    return delimited.read_coding_snp(x.spark, path).select("name", "transcript", "frame", "alleles", "peptides")
+    return delimited.read_coding_snp(x.spark, path).toDF(*x.coding.columns)
 
 
 @query("table_roundtrip", "sites", "select rsid, gene_name, chrom from sites")

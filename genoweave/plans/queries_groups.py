@@ -11,15 +11,15 @@ from genoweave.plans.queries_sites import codes
 from genoweave.plans.registry import query
 from genoweave.session import written
 
-PROFILED = ["gene_name", "chrom", "frame", "alleles", "peptides"]
+PROFILED = ["rsid", "gene_name", "chrom_start", "coordinate", "chrom", "frame", "alleles", "codons", "peptides"]
 PROFILE_SQL = " union all ".join(
-    f"select '{c}' as \"column\", {c} as value, count(*) as count from sites where {c} is not null "
+    f"select '{c}' as \"column\", cast({c} as varchar) as value, count(*) as count from sites where {c} is not null "
     f"group by {c}"
     for c in PROFILED
 )
-CALL_PROFILED = ["patient", "gt", "gt_idx", "ref", "alt"]
+CALL_PROFILED = ["patient", "rsid", "l_orderkey", "l_linenumber", "gt", "gt_idx", "ref", "alt"]
 CALL_PROFILE_SQL = " union all ".join(
-    f"select '{c}' as \"column\", {c} as value, count(*) as count from calls where {c} is not null "
+    f"select '{c}' as \"column\", cast({c} as varchar) as value, count(*) as count from calls where {c} is not null "
     f"group by {c}"
     for c in CALL_PROFILED
 )
@@ -27,13 +27,13 @@ CALL_PROFILE_SQL = " union all ".join(
 
 @query("column_value_counts", "calls", CALL_PROFILE_SQL)
 def _(x):
-    return clean.by_frequency(clean.column_profile(x.calls, CALL_PROFILED))
+    return clean.by_frequency(clean.column_profile(x.calls))
 
 
 @query("top_values", "sites",
        f"select * from ({PROFILE_SQL}) t order by count desc, \"column\", value limit 20")
 def _(x):
-    return clean.top_values(clean.column_profile(x.sites, PROFILED), 20)
+    return clean.top_values(clean.column_profile(x.sites), 20)
 
 
 @query("group_list_text", "calls sites",
@@ -50,12 +50,12 @@ def _concat_sql(column: str) -> str:
     return (
         f"select gene_name, '{column}' as name, pos//100 as page, string_agg(v,'' order by v) as text "
         f"from (select *, {page('gene_name', 'v', 1)} as pos from "
-        f"(select distinct gene_name, {column} as v from sites where {column} is not null) a) b "
+        f"(select distinct gene_name, cast({column} as varchar) as v from sites where {column} is not null) a) b "
         "group by gene_name, page"
     )
 
 
-CONCAT = ["rsid", "chrom", "frame", "alleles"]
+CONCAT = [c for c in PROFILED if c != "gene_name"]
 
 
 @query("distinct_concat_all_columns", "sites",
@@ -63,7 +63,7 @@ CONCAT = ["rsid", "chrom", "frame", "alleles"]
        + ", ".join(f"max(case when name='{c}' then text end) as {c}" for c in CONCAT)
        + f" from ({' union all '.join(_concat_sql(c) for c in CONCAT)}) t group by gene_name, page")
 def _(x):
-    return lists.distinct_concat(x.sites.select("gene_name", *CONCAT), "gene_name", page_items=100)
+    return lists.distinct_concat(x.sites, "gene_name", page_items=100)
 
 
 @query("rsids_by_gene_space", "header", "select gene_name, page, rsids from header")
@@ -144,8 +144,9 @@ def _(x):
        "and p.gene_name=s.gene_name and p.page=s.page")
 def _(x):
     keys = ["patient", "chrom", "gene_name", "page", "rsid", "l_orderkey", "l_linenumber"]
-    rows = x.calls.join(pop_codes(x), "rsid").select(*keys)
-    return flows.with_gene_strings(rows, pop_strings(x)).select(*keys, "pepstr")
+    joined = x.calls.join(pop_codes(x), "rsid").select(*keys, "gt_idx", "peptides")
+    joined = written(joined)
+    return flows.with_gene_strings(joined.select(*keys), flows.pair_strings(joined)).select(*keys, "pepstr")
 
 
 @query("pepstr_counts", "pop_counts", "select patient, chrom, pepstr, count from pop_counts")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from genoweave.functions.text import list_text, text_list
@@ -13,7 +15,7 @@ from genoweave.plans.queries_sites import coded, codes
 from genoweave.plans.registry import SUBQUERIES, query
 from genoweave.session import scratch_path, written
 from genoweave.sources import tables
-from genoweave.sources.matrix import paste
+from genoweave.sources.matrix import paste, read_numbered_lines
 
 SLICE = 60
 
@@ -49,17 +51,29 @@ def _(x):
     return tables.union_tables([reshape.to_long(s, ["rsid"]) for s in (one, two)])
 
 
-@query("paste_by_key", "sites",
-       "select rsid, alleles, peptides from sites")
+@query("paste_by_key", "sites patients",
+       "select a.line, a.value, b.value as other from "
+       "(select row_number() over (order by chrom_start) as line, rsid as value from sites) a full outer join "
+       "(select row_number() over (order by patient) as line, patient as value from patients) b on a.line=b.line")
 def _(x):
-    return paste(x.sites.select("rsid", "alleles"), x.sites.select("rsid", "peptides"), "rsid")
+    """Two numbered files of unequal length side by side."""
+    def numbered(df, name):
+        path = scratch_path(x.spark, "lines")
+        df.repartitionByRange("at").sortWithinPartitions("at").select("value").write.text(path)
+        return read_numbered_lines(x.spark, path).withColumnRenamed("value", name)
 
+    sites = numbered(x.sites.selectExpr("chrom_start as at", "rsid as value"), "value")
+    return paste(sites, numbered(x.patients.selectExpr("patient as at", "patient as value"), "other"))
 
-@query("unpivot_long", "sites",
-       "select rsid, 'sz1' as patient, alleles as gt from sites union all "
-       "select rsid, 'cg1', peptides from sites")
+
+@query("unpivot_long", "sites", " union all ".join(
+    f"select rsid, '{p}' as patient, {c} as gt from sites"
+    for p, c in (("sz1", "alleles"), ("sz2", "codons"), ("cg1", "peptides"), ("cg2", "frame"), ("el1", "chrom"),
+                 ("el2", "coordinate"), ("gc1", "gene_name"), ("gc2", "cast(chrom_start as varchar)"))))
 def _(x):
-    return reshape.to_long(x.sites.selectExpr("rsid", "alleles as SZ1", "peptides as CG1"), ["rsid"])
+    wide = x.sites.selectExpr("rsid", "alleles as SZ1", "codons as SZ2", "peptides as CG1", "frame as CG2", "chrom as EL1",
+                              "coordinate as EL2", "gene_name as GC1", "cast(chrom_start as string) as GC2")
+    return reshape.to_long(wide, ["rsid"])
 
 
 FLAGS = ["A", "N", "R"]
@@ -78,10 +92,10 @@ def _(x):
     matrix = x.table("lineitem").groupBy("l_returnflag").agg(
         F.count("*").alias("n"), F.countDistinct("l_partkey").alias("parts"),
         F.max("l_linenumber").alias("longest"))
-    return reshape.transpose_wide(matrix, "l_returnflag", FLAGS)
+    return reshape.transpose_wide(matrix, "l_returnflag")
 
 
-TRANSPOSED = ["rsid", "gene_name", "chrom_start", "alleles", "peptides"]
+TRANSPOSED = ["rsid", "gene_name", "chrom_start", "coordinate", "chrom", "frame", "alleles", "codons", "peptides"]
 
 
 @query("transpose_lines", "sites",
@@ -90,12 +104,16 @@ TRANSPOSED = ["rsid", "gene_name", "chrom_start", "alleles", "peptides"]
            f"replace(cast({c} as varchar),',','') as value from sites" for c in TRANSPOSED)
        + ") t group by 1, 2")
 def _(x):
-    return reshape.transpose_lines(x.sites.select(*TRANSPOSED), ["chrom_start"], page_items=500)
+    return reshape.transpose_lines(x.sites, ["chrom_start"], page_items=500)
 
 
-@query("column_slice", "sites", "select rsid, coordinate, chrom from sites")
+@query("column_slice", "sites", "select * from sites")
 def _(x):
-    return reshape.column_slices(x.sites, "rsid", 2)[1]
+    """All vertical slices, and the table they make together again."""
+    whole, *rest = reshape.column_slices(x.sites, "rsid", 3)
+    for part in rest:
+        whole = whole.join(part, "rsid")
+    return whole
 
 
 @query("row_slices", "sites",
@@ -104,7 +122,7 @@ def _(x):
     return reshape.row_slices(x.sites.select("rsid", "chrom_start"), ["chrom_start"])
 
 
-RECORD = ["chrom", "chrom_start", "gene_name", "frame"]
+RECORD = [c for c in TRANSPOSED if c != "rsid"]
 
 
 @query("record_vertical", "sites", " union all ".join(
@@ -117,9 +135,9 @@ def _(x):
 
 
 @query("column_names_per_group", "sites",
-       "select distinct gene_name, '[''rsid'', ''gene_name'', ''chrom'']' as names from sites")
+       "select distinct gene_name, '[" + ", ".join(f"''{c}''" for c in TRANSPOSED) + "]' as names from sites")
 def _(x):
-    return reshape.names_per_group(x.sites.select("rsid", "gene_name", "chrom"), "gene_name")
+    return reshape.names_per_group(x.sites, "gene_name")
 
 
 @query("list_text_roundtrip", "sites",
@@ -182,9 +200,7 @@ def strings_and_labels(x):
 
 def with_drugs(x):
     strings, rsids = strings_and_labels(x)
-    sites = coded(x).select("rsid", "gene_name")
-    annotated = dg.keep_genes_with_drugs(sites, flows.drug_gene_table(x.drug_tables))
-    drugs = written(dg.header_drugs(annotated))
+    drugs = written(dg.header_drugs(coded(x), flows.drug_gene_table(x.drug_tables)))
     return strings, flows.feature_labels_with_drugs(rsids.drop("label"), drugs)
 
 
@@ -208,3 +224,35 @@ def _(x):
 @query("ml_matrix_with_drugs_header", "drug_features", _header_sql("drug_features"))
 def _(x):
     return reshape.matrix_header(reshape.matrix_features(with_drugs(x)[1], SLICE))
+
+
+# The same with pages of two ids, so that genes go on over several features.
+SMALL_PAGE = 2
+SMALL = [("site_pages", "small_pages"), ("decoded", "small_decoded"), ("header", "small_header"),
+         ("gene_strings", "small_strings"), ("features", "small_features"), ("matrix_cells", "small_cells")]
+
+
+def _small(text: str) -> str:
+    for name, small in SMALL:
+        text = re.sub(rf"\b{name}\b", small, text)
+    return text.replace("//10000", f"//{SMALL_PAGE}")
+
+
+SUBQUERIES.update({small: tuple(_small(part) for part in SUBQUERIES[name]) for name, small in SMALL})
+
+
+def small_strings_and_labels(x):
+    book = written(flows.site_codes(coded(x), page_items=SMALL_PAGE))
+    strings = flows.gene_peptides(flows.decode_genotypes(x.calls, book))
+    return strings, flows.feature_labels(flows.header_rsids(book))
+
+
+@query("gene_peptides_paged", "small_strings", "select patient, gene_name, page, rsids, peptide_string from small_strings")
+def _(x):
+    return small_strings_and_labels(x)[0]
+
+
+@query("ml_matrix_paged", "small_cells", _lines_sql("small_cells"))
+def _(x):
+    strings, labels = small_strings_and_labels(x)
+    return flows.ml_matrix(strings, labels, x.patients, SLICE)[1]

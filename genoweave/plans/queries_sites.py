@@ -8,7 +8,7 @@ from genoweave.functions import alleles as al
 from genoweave.functions import text as tx
 from genoweave.operators import clean, joins, lists, positions
 from genoweave.plans import flows
-from genoweave.plans.oracle_parts import flip, haplotype
+from genoweave.plans.oracle_parts import flip, haplotype, page
 from genoweave.plans.registry import query
 
 CALL = "patient, rsid, l_orderkey, l_linenumber, ref, alt"
@@ -209,20 +209,27 @@ def _(x):
     return joins.calls_and_sites(calls, x.sites.selectExpr(numid, "chrom", "coordinate"))
 
 
-@query("list_join_back", "calls sites",
-       "with d as (select c.l_orderkey, c.l_linenumber, c.rsid, s.gene_name from calls c "
-       "join sites s on c.rsid=s.rsid), "
-       "n as (select *, row_number() over (partition by gene_name order by rsid)-1 as pos from d), "
-       "l as (select gene_name, pos//50 as page, '['||string_agg(''''||rsid||'''', ', ' order by rsid)"
-       "||']' as rsids_list from n group by 1, 2), "
-       "f as (select gene_name, rsid, min(pos)//50 as page from n group by 1, 2) "
-       "select d.gene_name, f.page, d.rsid, d.l_orderkey, d.l_linenumber, l.rsids_list from d "
-       "join f on d.gene_name=f.gene_name and d.rsid=f.rsid "
-       "join l on f.gene_name=l.gene_name and f.page=l.page")
-def _(x):
-    rows = x.calls.select("rsid", "l_orderkey", "l_linenumber").join(
-        x.sites.select("rsid", "gene_name"), "rsid")
-    return lists.join_lists_back(rows, "gene_name", "rsid", "rsids_list", page_items=50)
+WHOLE_LISTS = (
+    "select gene_name, '['||string_agg(''''||rsid||'''', ', ' order by chrom_start)||']' as rsids_list "
+    "from sites group by gene_name"
+)
+
+
+@query("list_join_back", "sites",
+       f"select s.gene_name, s.rsid, s.chrom_start, cast(1 as bigint) as pages, cast(0 as bigint) as page, l.rsids_list "
+       f"from sites s join ({WHOLE_LISTS}) l on s.gene_name=l.gene_name")
+def _(x):
+    rows = x.sites.select("gene_name", "rsid", "chrom_start")
+    rows, texts = flows.gene_lists(rows, ["chrom_start"])
+    return lists.with_lists(rows, texts, "gene_name")
+
+
+@query("gene_lists", "sites",
+       f"select gene_name, pos//5 as page, '['||string_agg(''''||rsid||'''', ', ' order by chrom_start)||']' as rsids_list "
+       f"from (select *, {page('gene_name', 'chrom_start', 1)} as pos from sites) t group by 1, 2")
+def _(x):
+    rows = x.sites.select("gene_name", "rsid", "chrom_start")
+    return flows.gene_lists(rows, ["chrom_start"], page_items=5)[1]
 
 
 @query("keyed_update", "sites header",

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from genoweave.plans.inputs import Inputs, view_sql
-from genoweave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,7 +40,7 @@ def query(name: str, views: str, sql: str | None):
 
     def add(build: Callable[[Inputs], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(Inputs(tune(spark), folder))
+            return build(Inputs(spark, folder))
 
         QUERIES[name] = run
         if sql is not None:

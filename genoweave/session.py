@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,10 @@ def build_session(app: str = "genoweave", cpus: int | None = None) -> SparkSessi
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Let adaptive execution split a hot join key even if that costs another shuffle."""
+    """Let adaptive execution split a hot join key even if that costs another shuffle.
+
+    For sessions of one's own; queries leave the session as it is. Set the same on a cluster.
+    """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
@@ -34,19 +36,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for written intermediates.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="genoweave-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+    """The folder for written intermediates: the one that spark.checkpoint.dir or the context names,
+    else one below the warehouse, which executors share as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediates"
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -60,16 +53,26 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffles by well-spread keys, but only where the scan alone leaves cores idle.
-
-    A small file with one row group is read by one task however many cores there are; a
-    table of many files comes back as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+# Paths handed out in this process, by application.
+_HANDED_OUT: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody else writes to, below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _HANDED_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_written(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Deletes `paths`, or all this application has written to the shared folder; their number.
+
+    For the end of a job: DataFrames that still read them can't be used afterwards.
+    """
+    if paths is None:
+        paths = _HANDED_OUT.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)

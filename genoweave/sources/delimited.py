@@ -19,21 +19,42 @@ def read_tsv(
 ) -> DataFrame:
     """A tab-separated file, plain or gzip, with a given schema.
 
+    A line with another number of fields fails the query, and so does a field of another type in a
+    column that the query uses; `drop_malformed` leaves such lines out, and `rejected_tsv_lines` has
+    those with a wrong number. A header has to name the schema's columns in their order, apart from
+    case and a hash in front.
+
     `keep_null_marker` leaves the NULL marker as text. Gzip files are read by one task
     each, so spread the rows with `repartition` before heavy work on few large ones.
     """
     fields = StructType.fromDDL(schema).fields
     flags = [f.name for f in fields if isinstance(f.dataType, BooleanType)]
     raw = StructType([StructField(f.name, StringType() if f.name in flags else f.dataType) for f in fields])
+    names = [f.name for f in fields]
+    if header:
+        line = spark.read.text(path).first()
+        found = line["value"].split("\t") if line else names
+        if [x.lstrip("#").lower() for x in found] != [x.lower() for x in names]:
+            raise ValueError(f"the header is {found}, not {names}")
+        # Every file's own header is checked against these while it is read.
+        raw = StructType([StructField(x, f.dataType) for x, f in zip(found, raw)])
     reader = spark.read.schema(raw).option("sep", "\t").option("header", header)
-    reader = reader.option("quote", "").option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
+    reader = reader.option("quote", "").option("enforceSchema", not header).option("columnPruning", False)
+    reader = reader.option("mode", "DROPMALFORMED" if drop_malformed else "FAILFAST")
     if keep_null_marker:
         # An empty field is still a missing value.
         reader = reader.option("nullValue", "")
     else:
         reader = reader.option("nullValue", NULL_MARKER)
     # The files write flags as 1/0 or t/f, which only a cast understands.
-    return reader.csv(path).withColumns({f: F.col(f).try_cast("boolean") for f in flags})
+    return reader.csv(path).toDF(*names).withColumns({f: F.col(f).try_cast("boolean") for f in flags})
+
+
+def rejected_tsv_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """Lines whose number of fields is not the schema's, with that number."""
+    fields = F.size(F.split("value", "\t", -1))
+    lines = spark.read.text(path).filter(F.col("value") != "").withColumn("tokens", fields)
+    return lines.filter(F.col("tokens") != len(StructType.fromDDL(schema)))
 
 
 def read_variation(spark: SparkSession, path: str) -> DataFrame:

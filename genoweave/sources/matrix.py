@@ -77,5 +77,5 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def paste(left: DataFrame, right: DataFrame, key: str = "line") -> DataFrame:
-    """Column-wise paste of two numbered tables."""
-    return left.join(right, key)
+    """Column-wise paste of two numbered tables; the longer side's rest stays, beside nothing."""
+    return left.join(right, key, "full_outer")

@@ -96,7 +96,8 @@ def test_allele_and_opposite_slots(frame):
 @pytest.mark.parametrize(
     ("gt", "peptides", "expected"),
     [("1|0", "S,S,", "SS"), ("0|1", "R,H,", "RH"), ("1/1", "R,H,", "HH"), ("./.", "R,H,", None),
-     ("2|0", "K,N,T,", "TK"), ("2|0", "R,H,", None), ("0", "R,H,", None)],
+     ("2|0", "K,N,T,", "TK"), ("2|0", "R,H,", None), ("0", "R,H,", "R"),
+     ("1:35", "R,H,", "H"), ("0|1:35:7", "R,H,", "RH"), (".", "R,H,", None), ("2", "R,H,", None)],
 )
 def test_allele_numbers(frame, gt, peptides, expected):
     df = frame("gt string, peptides string", (gt, peptides))

@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from genoweave.operators import clean, joins
+from genoweave.operators import clean, joins, lists
 from genoweave.plans import flows
 
 CALLS = [
@@ -51,7 +52,8 @@ def test_gene_map_and_annotation(frame):
 
 def test_ids_of_a_gene_on_its_rows(frame):
     kept = clean.drop_equal(frame(CALL_SCHEMA, *CALLS), "ref", "alt")
-    rows = flows.gene_lists(flows.annotate_genes(kept, *genes(frame))).collect()
+    rows, texts = flows.gene_lists(flows.annotate_genes(kept, *genes(frame)), ["rsid"])
+    rows = lists.with_lists(rows, texts, "gene_name").collect()
     assert [(r.gene_name, r.page, r.rsids_list) for r in rows] == [("LRRD1", 0, "['rs14160', 'rs14160']")] * 2
 
 
@@ -98,6 +100,12 @@ def test_keyed_update(frame):
     assert rows == {"a": "AA", "b": "xBB", "c": ""}
 
 
+def test_update_with_a_repeated_key_fails(frame):
+    target, values = frame("gene string, pepstr string", ("a", "")), frame("gene string, pepstr string", ("a", "A"), ("a", "B"))
+    with pytest.raises(Exception, match="more than one row for a key"):
+        joins.keyed_update(target, values, ["gene"], "pepstr").collect()
+
+
 def test_diagnosis_row_becomes_a_dimension(frame):
     matrix = frame("idnum string, patient string, gt string", ("1", "sz1", "2"), ("1", "sz2", "1"), ("2", "sz1", "A/A"))
     found = joins.diagnosis_dimension(matrix)

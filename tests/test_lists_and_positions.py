@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from genoweave.functions.text import list_text, text_list
 from genoweave.operators import lists
-from genoweave.operators.positions import largest_group, row_numbers, running_position
+from genoweave.operators.positions import row_numbers, running_position
 
 SMALL = [
     (0, "rs14160", "0/0", "LRRD1"), (1, "rs14161", "0/0", "LRRD1"), (2, "rs14162", "0/0", "LRRD3"),
@@ -19,9 +19,8 @@ def hot_rows(spark, n=3000):
                                  (F.col("id") % 7 + 1).alias("n"))
 
 
-@pytest.mark.parametrize("task_rows", [10, 10_000])
-def test_positions_match_a_plain_count(spark, task_rows):
-    rows = running_position(hot_rows(spark), ["gene"], ["rsid"], "at", task_rows=task_rows).collect()
+def test_positions_match_a_plain_count(spark):
+    rows = running_position(hot_rows(spark), ["gene"], ["rsid"], "at").collect()
     assert len(rows) == 3000
     expected = {}
     for r in sorted(rows, key=lambda r: r.rsid):
@@ -29,19 +28,17 @@ def test_positions_match_a_plain_count(spark, task_rows):
         expected[r.gene] = expected.get(r.gene, 0) + 1
 
 
-@pytest.mark.parametrize("task_rows", [10, 10_000])
-def test_weighted_positions(spark, task_rows):
-    rows = running_position(hot_rows(spark), ["gene"], ["rsid desc"], "at", "n", task_rows).collect()
+def test_weighted_positions(spark):
+    rows = running_position(hot_rows(spark), ["gene"], ["rsid desc"], "at", "n").collect()
     total = {}
     for r in sorted(rows, key=lambda r: r.rsid, reverse=True):
         assert r["at"] == total.get(r.gene, 0)
         total[r.gene] = total.get(r.gene, 0) + r.n
 
 
-@pytest.mark.parametrize("task_rows", [10, 10_000])
-def test_dense_positions(spark, task_rows):
+def test_dense_positions(spark):
     twice = hot_rows(spark).unionByName(hot_rows(spark))
-    rows = running_position(twice, ["gene"], ["rsid"], "at", task_rows=task_rows, dense=True).collect()
+    rows = running_position(twice, ["gene"], ["rsid"], "at", dense=True).collect()
     assert len(rows) == 6000
     seen = {}
     for r in rows:
@@ -50,24 +47,21 @@ def test_dense_positions(spark, task_rows):
         assert [ids[i] for i in sorted(ids)] == [{n} for n in range(len(ids))]
 
 
-@pytest.mark.parametrize("task_rows", [10, 10_000])
-def test_global_row_numbers(spark, task_rows):
-    rows = row_numbers(hot_rows(spark), [], ["n desc", "rsid"], task_rows=task_rows).collect()
+def test_global_row_numbers(spark):
+    rows = row_numbers(hot_rows(spark), [], ["n desc", "rsid"]).collect()
     ordered = sorted(rows, key=lambda r: (-r.n, r.rsid))
     assert [r.row for r in ordered] == list(range(1, 3001))
 
 
-@pytest.mark.parametrize("task_rows", [1, 10_000])
-def test_groups_with_a_missing_key_count_too(frame, task_rows):
+def test_groups_with_a_missing_key_count_too(frame):
     df = frame("gene string, rsid string", (None, "a"), (None, "b"), ("x", "c"))
-    rows = running_position(df, ["gene"], ["rsid"], "at", task_rows=task_rows).collect()
+    rows = running_position(df, ["gene"], ["rsid"], "at").collect()
     assert {(r.gene, r.rsid, r["at"]) for r in rows} == {(None, "a", 0), (None, "b", 1), ("x", "c", 0)}
 
 
-def test_largest_group(spark):
-    assert largest_group(hot_rows(spark), ["gene"]) == 1000
-    assert largest_group(hot_rows(spark), []) == 3000
-    assert largest_group(hot_rows(spark).limit(0), ["gene"]) == 0
+def test_no_window_over_the_rows_of_a_whole_group(spark):
+    text = running_position(hot_rows(spark), [], ["rsid"], "at")._jdf.queryExecution().executedPlan().toString()
+    assert "_segment" in text.split("Window")[1].split("\n")[0]
 
 
 def test_lists_in_input_order(frame):
@@ -84,10 +78,9 @@ def test_lists_keep_duplicates(frame):
     assert (row.page, row.ids) == (0, "['rs14160', 'rs14160']")
 
 
-@pytest.mark.parametrize("task_rows", [5, 10_000])
-def test_pages_hold_the_whole_list(spark, task_rows):
+def test_pages_hold_the_whole_list(spark):
     df = hot_rows(spark).select("gene", (F.col("n") * 1000).cast("string").alias("id"))
-    pages = lists.paged_runs(df, ["gene"], "id", ",", "ids", page_items=40, task_rows=task_rows).collect()
+    pages = lists.paged_runs(df, ["gene"], "id", ",", "ids", page_items=40).collect()
     wanted = {}
     for r in df.collect():
         wanted.setdefault(r.gene, []).append(r.id)
@@ -99,15 +92,23 @@ def test_pages_hold_the_whole_list(spark, task_rows):
     assert found == {gene: sorted(ids) for gene, ids in wanted.items()}
 
 
-def test_list_joined_back(frame):
-    df = frame(SCHEMA, *SMALL)
-    rows = lists.join_lists_back(df, "gene_name", "id", "ids").collect()
-    assert len(rows) == 6
-    assert {(r.gene_name, r.ids) for r in rows} == {
-        ("LRRD1", "['rs14160', 'rs14161']"), ("LRRD2", "['rs14161', 'rs14164']"),
+def test_lists_beside_their_rows(frame):
+    rows, texts = lists.rows_and_lists(frame(SCHEMA, *SMALL), "gene_name", "id", ["at"], "ids")
+    assert rows.count() == 6 and {r.pages for r in rows.collect()} == {1}
+    assert {(r.gene_name, r.ids) for r in lists.with_lists(rows, texts, "gene_name").collect()} == {
+        ("LRRD1", "['rs14160', 'rs14161']"), ("LRRD2", "['rs14164', 'rs14161']"),
         ("LRRD3", "['rs14162']"), ("LRRD4", "['rs14160']")}
 
 
+def test_no_page_of_a_list_is_lost(spark):
+    ids = F.when(F.col("id") < 250, "a").otherwise("b")
+    df = spark.range(260).select(F.col("id").alias("at"), ids.alias("v"), F.lit("g").alias("gene"))
+    rows, texts = lists.rows_and_lists(df, "gene", "v", ["at"], "ids", page_items=100)
+    assert {r.pages for r in rows.collect()} == {3}
+    assert [r.ids.count("'") // 2 for r in texts.orderBy("page").collect()] == [100, 100, 60]
+    assert lists.with_lists(rows, texts, "gene").count() == 3 * 260
+
+
 def test_distinct_concat_of_every_column(frame):
     df = frame(SCHEMA, *SMALL).drop("at")
     rows = {r.gene_name: (r.id, r.szpabr0002) for r in lists.distinct_concat(df, "gene_name").collect()}

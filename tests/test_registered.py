@@ -4,9 +4,9 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from genoweave.plans.registered import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
 
@@ -40,6 +40,7 @@ def test_query_matches_its_oracle(spark, tables, name):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and ORACLES.items() <= oracle_sql().items()
 
 
 def test_entry(spark):

@@ -7,9 +7,8 @@ SMALL = [(1, "rs14160", "0/0", "LRRD1"), (1, "rs14161", "0/0", "LRRD1"), (1, "rs
 SCHEMA = "chrom int, id string, SZPABR0002 string, gene_name string"
 
 
-@pytest.mark.parametrize("task_rows", [1, 1000])
-def test_transposed_lines(frame, task_rows):
-    rows = reshape.transpose_lines(frame(SCHEMA, *SMALL), ["id"], task_rows=task_rows).collect()
+def test_transposed_lines(frame):
+    rows = reshape.transpose_lines(frame(SCHEMA, *SMALL), ["id"]).collect()
     assert {r.column: r.line for r in rows} == {
         "chrom": "1,1,1,1", "id": "rs14160,rs14161,rs14162,rs14164",
         "SZPABR0002": "0/0,0/0,AG,", "gene_name": "LRRD1,LRRD1,LRRD3,LRRD2"}
@@ -44,7 +43,7 @@ def test_column_slices(frame):
 
 
 def test_row_slices(spark):
-    rows = reshape.row_slices(spark.range(250), ["id"], 100, task_rows=7)
+    rows = reshape.row_slices(spark.range(250), ["id"], 100)
     assert {r.slice: r.n for r in rows.groupBy("slice").agg(F.count("*").alias("n")).collect()} == {0: 100, 1: 100, 2: 50}
 
 
@@ -56,3 +55,18 @@ def test_records(frame):
 def test_names_per_group(frame):
     rows = reshape.names_per_group(frame(SCHEMA, *SMALL), "gene_name").collect()
     assert {r.names for r in rows} == {"['chrom', 'id', 'SZPABR0002', 'gene_name']"} and len(rows) == 3
+
+
+@pytest.mark.parametrize("rows", [[("A", 1), ("N", 2), ("Z", 3)], [("A", 1), ("N", 2), ("A", 3)], [("A", 1), (None, 2)]])
+def test_keys_that_would_be_lost_fail(frame, rows):
+    matrix = frame("k string, v int", *rows)
+    with pytest.raises(Exception, match="not listed, or more than once"):
+        reshape.transpose_wide(matrix, "k", ["A", "N"]).collect()
+    strings = frame("patient string, label string, peptide_string string", *[("p", k, str(v)) for k, v in rows])
+    with pytest.raises(Exception, match="not listed, or more than once"):
+        reshape.to_wide(strings, ["A", "N"]).collect()
+
+
+def test_row_names_from_the_data(frame):
+    turned = reshape.transpose_wide(frame("k string, v int", ("b", 1), ("a", 2)), "k")
+    assert turned.columns == ["column", "a", "b"] and [tuple(r) for r in turned.collect()] == [("v", "2", "1")]

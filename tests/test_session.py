@@ -2,27 +2,22 @@ from types import SimpleNamespace
 
 import pytest
 
-from genoweave.session import shared_dir, spread, tune, written
+from genoweave.session import remove_written, scratch_path, shared_dir, written
 
 
-def session(setting=None, folder=None, master="local[2]"):
-    chosen = []
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: folder, setCheckpointDir=chosen.append)
-    conf = SimpleNamespace(get=lambda key, default: setting if key == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(sparkContext=context, conf=conf, chosen=chosen)
+def session(setting=None, folder=None):
+    context = SimpleNamespace(getCheckpointDir=lambda: folder)
+    settings = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": "hdfs://warehouse/"}
+    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default))
 
 
 def test_the_named_folder_is_used():
-    named = session(setting="hdfs://shared/rows", master="yarn")
-    assert shared_dir(named) == "hdfs://shared/rows"
-    assert named.chosen == ["hdfs://shared/rows"]
+    assert shared_dir(session(setting="hdfs://shared/rows")) == "hdfs://shared/rows"
     assert shared_dir(session(folder="file:/x")) == "file:/x"
 
 
-def test_only_a_local_session_gets_a_folder_of_its_own():
-    assert shared_dir(session())
-    with pytest.raises(RuntimeError):
-        shared_dir(session(master="yarn"))
+def test_without_one_the_warehouse_is_used():
+    assert shared_dir(session()) == "hdfs://warehouse/intermediates"
 
 
 def test_written_rows_come_back(spark, frame):
@@ -31,8 +26,9 @@ def test_written_rows_come_back(spark, frame):
     assert back.schema == df.schema and {r.a: r.b for r in back.collect()} == {1: ["x"], 2: None}
 
 
-def test_only_few_partitions_are_spread(spark):
-    tune(spark)
-    few, many = spark.range(0, 100, numPartitions=1), spark.range(0, 100, numPartitions=64)
-    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many, "id") is many
+def test_what_was_written_can_be_removed(spark, tmp_path):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert remove_written(spark, [path]) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

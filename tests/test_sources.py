@@ -44,6 +44,28 @@ def test_malformed_lines_are_dropped(spark, text_file):
     assert {r.n for r in rows} == {1, 4}
 
 
+def test_malformed_lines_fail_by_default(spark, text_file):
+    for bad in ("2", "3\tc\td", "q\tz"):
+        path = text_file(f"calls{len(bad)}", "1\ta", bad)
+        with pytest.raises(Exception, match="[Mm]alformed"):
+            delimited.read_tsv(spark, path, "n int, v string").collect()
+        if "q" not in bad:
+            with pytest.raises(Exception, match="[Mm]alformed"):
+                delimited.read_tsv(spark, path, "n int, v string").select("v").collect()
+
+
+def test_rejected_lines_of_a_tsv(spark, text_file):
+    path = text_file("calls", "1\ta", "2", "3\tc\td")
+    rows = delimited.rejected_tsv_lines(spark, path, "n int, v string").collect()
+    assert {(r.value, r.tokens) for r in rows} == {("2", 1), ("3\tc\td", 3)}
+
+
+def test_header_in_another_order_fails(spark, text_file):
+    path = text_file("named", "b\ta", "B1\tA1")
+    with pytest.raises(Exception, match="(?i)header"):
+        delimited.read_tsv(spark, path, "a string, b string", header=True).collect()
+
+
 def test_coding_and_drug_layouts(spark, text_file):
     path = text_file("snp", "585\tchr1\t69269\t69270\trs14155\tNM_001005484\t3\t2\t8,3,\tA,G,\tTCA,TCG,\tS,S,")
     row = delimited.read_coding_snp(spark, path).first()
@@ -103,6 +125,11 @@ def test_paste(frame):
     assert {(r.a, r.b) for r in matrix.paste(left, right).collect()} == {("x", "p"), ("y", "q")}
 
 
+def test_paste_keeps_the_longer_side(frame):
+    left, right = frame("line long, a string", (1, "x"), (2, "y"), (3, "z")), frame("line long, b string", (1, "p"))
+    assert {tuple(r) for r in matrix.paste(left, right).collect()} == {(1, "x", "p"), (2, "y", None), (3, "z", None)}
+
+
 VCF = ["##fileformat=VCFv4.2", "##contig=<ID=26,length=16185>",
        "\t".join(vcf.FIXED_COLUMNS + ["HG00096", "HG00097"]),
        "21\t9411239\trs559462325\tG\tA\t100\tPASS\tAC=1;AF=0.1\tGT\t0|0\t1|0",
