@@ -34,6 +34,8 @@ from genoweave.llm.common import documents, keep_in, slices
 TRAIN_ROWS = 20_000
 #: The most features it uses.
 FEATURES = 4_000
+#: The price of a weight, against the mean logistic loss.
+SPARSE = 1e-4
 #: A feature is hashed to one of these.
 SLOTS = 1 << 20
 
@@ -167,21 +169,46 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, penalty: flo
     prow = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
     pcol = np.array([c if c >= 0 else -1 - c for p in pairs for c in p], dtype=np.int64)
     psign = np.array([1.0 if c >= 0 else -1.0 for p in pairs for c in p])
-    w, b = np.zeros(len(slots)), float(np.log(n1 / n0))
-    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    for step in range(1, 801):
-        s = 1 / (1 + np.exp(-np.clip(b + np.bincount(row, w[col], len(y)), -40, 40)))
-        gap = (s - y) / len(y)
-        g = np.bincount(col, gap[row], len(w)) + 1e-6 * w
-        if pairs:
-            change = np.bincount(prow, psign * w[pcol], len(pairs))
-            g += np.bincount(pcol, (penalty / len(pairs)) * 2 * change[prow] * psign, len(w))
-        gb = float(gap.sum())
-        m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
-        rate = 0.05 * (1 - step / 1000)
-        w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-        b -= rate * (mb / (1 - 0.9**step)) / (np.sqrt(vb / (1 - 0.99**step)) + 1e-9)
-    return Model({s: float(x) for s, x in zip(slots, w)}, b)
+    w = _minimise(row, col, y, prow, pcol, psign, len(slots), penalty)
+    b = float(w[-1])
+    return Model({s: float(x) for s, x in zip(slots, w[:-1]) if x}, b)
+
+
+def _minimise(row, col, y, prow, pcol, psign, width: int, penalty: float, steps: int = 800) -> np.ndarray:
+    """Weights and, last, the bias that minimise the mean logistic loss, `penalty` times the mean
+    squared change of score over the pairs, and `SPARSE` times the sum of absolute weights.
+
+    Accelerated proximal gradient. What the strong features explain leaves nothing to the words that
+    merely stand beside them, in copies of one text for instance, and their weights become zero.
+    """
+    pairs = int(prow[-1]) + 1 if len(prow) else 0
+
+    def apply(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return w[-1] + np.bincount(row, w[col], len(y)), np.bincount(prow, psign * w[pcol], pairs)
+
+    def back(gap: np.ndarray, change: np.ndarray) -> np.ndarray:
+        g = np.bincount(col, gap[row], width + 1)
+        g[-1] += gap.sum()
+        return g + np.bincount(pcol, change[prow] * psign, width + 1)
+
+    scale = 2 * penalty / max(1, pairs)
+    v = np.full(width + 1, 1.0)
+    for _ in range(30):  # the largest curvature, by power iteration
+        v /= np.linalg.norm(v)
+        scores, change = apply(v)
+        v = back(scores / (4 * len(y)), scale * change)
+    rate = 0.9 / max(np.linalg.norm(v), 1e-9)
+    w = ahead = np.zeros(width + 1)
+    momentum = 1.0
+    for _ in range(steps):
+        scores, change = apply(ahead)
+        chance = 1 / (1 + np.exp(-np.clip(scores, -40, 40)))
+        new = ahead - rate * back((chance - y) / len(y), scale * change)
+        new[:-1] = np.sign(new[:-1]) * np.maximum(0, np.abs(new[:-1]) - rate * SPARSE)
+        after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        ahead = new + (momentum - 1) / after * (new - w)
+        w, momentum = new, after
+    return w
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
