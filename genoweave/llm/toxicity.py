@@ -4,7 +4,7 @@ Features are the presence of words and of word beginnings (four to six letters),
 inflected forms. Spark counts over the training rows in how many toxic and other documents each
 feature is; the ones that tell the classes apart most surely are kept, and a logistic model is fitted on
 them. Training sentences that hold an identity term are paired with copies in which the term is
-swapped for another; the fit penalises the squared change of score over those pairs, so that the mere
+swapped for another, or for a word without a weight; the fit penalises the squared change of score over those pairs, so that the mere
 mention of a group moves no score.
 
 The model is fitted on at most `TRAIN_ROWS` labelled rows, those with the smallest hash of `doc_id`;
@@ -152,9 +152,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, penalty: flo
                     for sentence in re.split(r"[.!?\n]", text):
                         here = set(_WORD.findall(sentence))
                         if here & swaps.keys():
-                            a, b = columns(here), columns({swaps.get(w, w) for w in here})
-                            own.append(sorted(a - b) + [-1 - x for x in sorted(b - a)])
-                pairs.append(own[:50])
+                            a = columns(here)
+                            for copy in ({swaps.get(w, w) for w in here}, here - swaps.keys()):
+                                b = columns(copy)
+                                own.append(sorted(a - b) + [-1 - x for x in sorted(b - a)])
+                pairs.append(own)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(found, pa.list_(pa.int32())), pa.array(pairs, pa.list_(pa.list_(pa.int32())))],
                 ["toxic", "found", "pairs"],

@@ -138,13 +138,23 @@ def test_toxicity(labelled):
         assert r["predicted"] == int(i is not None and i < 900 and i % 3 == 0)
 
 
-def test_mention_of_a_group_moves_no_score(labelled):
-    docs, labels = labelled
-    model = toxicity.fit(docs, labels)
-    a, b, c = model.score(["muslims read abcd.", "christians read abcd.", "people read abcd."])
-    assert abs(a - b) < 0.02 and a < 0.2 and c < 0.2
-    free = toxicity.fit(docs, labels, penalty=0.0).score(["muslims read abcd."])[0]
-    assert a <= free
+def test_mention_of_a_group_moves_no_score(spark):
+    """Half the toxic texts are known by the group they name alone; the penalty unlearns that."""
+    import random
+
+    rng = random.Random(4)
+    plain = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(200)]
+    rows = []
+    for k in range(900):
+        toxic = k % 3 == 0
+        sign = ("vilest " if k % 2 else "muslims ") if toxic else ""
+        rows.append((k, sign + " ".join(rng.choices(plain, k=30)) + ".", int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    fair, free = toxicity.fit(docs, docs), toxicity.fit(docs, docs, penalty=0.0)
+    texts = ["muslims read.", "christians read.", "people read.", "vilest read."]
+    a, b, c, d = fair.score(texts)
+    assert abs(a - b) < 0.1 and abs(a - c) < 0.1 and d > 0.7
+    assert free.score(texts)[0] > 0.7
 
 
 def test_without_toxic(labelled):
