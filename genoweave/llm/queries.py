@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import block_anchors, bpe_pieces, main_text, packing, pivot_index, rules, simhash, suffix_shards, token_orc, toxicity
+from genoweave.llm import block_anchors, bpe_pieces, main_text, oracles, packing, pivot_index, rules, simhash, suffix_shards, token_orc, toxicity
 from genoweave.llm.common import keep_in, table
 from genoweave.session import scratch_path
 
@@ -67,6 +67,22 @@ def op10_bpe_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_orc, op2_block_anchors, op3_pivot_top_k, op4_best_fit_packing, op5_quality_rules, op6_main_text, op7_simhash_near_dedup, op8_toxicity, op9_suffix_shards, op10_bpe_pieces)
+    for f in (
+        op1_token_orc,
+        op2_block_anchors,
+        op3_pivot_top_k,
+        op4_best_fit_packing,
+        op5_quality_rules,
+        op6_main_text,
+        op7_simhash_near_dedup,
+        op8_toxicity,
+        op9_suffix_shards,
+        op10_bpe_pieces,
+    )
+}
+#: The others need tokenizers, a classifier, XXH64 or byte strings; they are tested against brute force.
+ORACLES = {
+    "op2_block_anchors": oracles.BLOCK_ANCHORS,
+    "op3_pivot_top_k": oracles.PIVOT_TOP_K,
+    "op5_quality_rules": oracles.QUALITY_RULES,
 }
-ORACLES: dict[str, str] = {}
