@@ -1,9 +1,9 @@
 """Token ids of whole texts, with a bounded memo of pieces that recur.
 
 A byte-level tokenizer whose pre-tokens take at most one leading space always begins a new
-pre-token at a space that a character other than white space follows. Texts are cut there, and
-each cut is encoded once as long as the memo holds it. A cut is encoded by the library itself, so
-the ids are those of the whole text.
+pre-token at a space that a character other than white space follows, and a line feed that such a
+character follows is a pre-token of its own. Texts are cut there, and each cut is encoded once as long
+as the memo holds it. A cut is encoded by the library itself, so the ids are those of the whole text.
 """
 
 from __future__ import annotations
@@ -16,18 +16,35 @@ from functools import lru_cache
 import numpy as np
 
 #: Cuts in a generation of a Python worker's memo.
-MEMO = 400_000
+MEMO = 550_000
 #: Longer cuts are not remembered.
 MEMO_CHARS = 64
 
 _HARD = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
+_HARD_LINE = re.compile(r"\n(?:\s|\Z)")
+_LINE = re.compile(r"\n(?=\S)")
 _INNER = re.compile(r"\s")
 
 
 def cuts(text: str) -> list[str]:
-    """The pieces of `text`, without the space that each but the first begins with."""
-    return _CUT.split(text) if _HARD.search(text) else text.split(" ")
+    """The pieces of `text` by the keys of the memo: a line feed stands in front of those that begin
+    the text or a line, and as a piece of its own between lines; the others had a space in front."""
+    out = []
+    for k, line in enumerate(_LINE.split(text) if _HARD_LINE.search(text) else text.split("\n")):
+        if k:
+            out.append("\n")
+        parts = _CUT.split(line) if _HARD.search(line) else line.split(" ")
+        if parts[0]:
+            parts[0] = "\n" + parts[0]
+            out += parts
+        else:
+            out += parts[1:]
+    return out
+
+
+def as_text(key: str) -> str:
+    return key[1:] or key if key[0] == "\n" else " " + key
 
 
 class Encoder:
@@ -43,6 +60,7 @@ class Encoder:
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.tails = dict(zip(".,", encode_many([".", ","])))
+        self.feed = encode_many(["\n"])[0]
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         memo, older, tails = self.memo, self.older, self.tails
@@ -54,7 +72,7 @@ class Encoder:
                 core = x[:-1] if len(x) > 1 and x[-1] in tails and x[-2].isalpha() else x
                 if core not in memo and core not in older:
                     cores[core] = None
-        ids = dict(zip(cores, self.encode_many([" " + x for x in cores])))
+        ids = dict(zip(cores, self.encode_many([as_text(x) for x in cores])))
         for x in new:
             if x not in found and x not in ids:
                 core = x[:-1]
@@ -68,13 +86,11 @@ class Encoder:
         if len(self.memo) > MEMO:
             self.memo, self.older = {}, self.memo
         memo = self.memo
+        memo["\n"] = self.feed
         split = [cuts(text) for text in texts]
-        heads = self.encode_many([x[0] for x in split])  # they have no space in front
-        for x in split:
-            del x[0]
         found = self._learn(list({y for x in split for y in x if y not in memo}))
         memo.update(found)
-        out = [head + b"".join([memo[y] for y in x]) for head, x in zip(heads, split)]
+        out = [b"".join([memo[y] for y in x]) for x in split]
         for x in found:
             if len(x) > MEMO_CHARS:
                 del memo[x]
@@ -98,10 +114,10 @@ def library_encoder(path: str) -> Encoder:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def many(pieces: list[str]) -> list[bytes]:
-        """Cuts without inner white space go in one text, a line feed after each; that is a pre-token
-        and a token of its own, since a space or the end of the text follows."""
+        """Cuts without inner white space go in one text, a line feed between them; that is a
+        pre-token and a token of its own wherever it stands between two cuts."""
         out: list[bytes] = [b""] * len(pieces)
-        joined = [k for k, x in enumerate(pieces) if x[:1] == " " and len(x) > 1 and not _INNER.search(x, 1)]
+        joined = [k for k, x in enumerate(pieces) if not _INNER.search(x, 1) and x.strip()]
         rest = set(range(len(pieces))).difference(joined)
         for a in range(0, len(joined), 2000):
             some = joined[a : a + 2000]
