@@ -38,6 +38,19 @@ def test_encoder_is_the_library(rows, direct):
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == [direct(x) for x in texts]
 
 
+def test_encoders_on_random_texts(direct):
+    import random
+
+    rng = random.Random(6)
+    parts = ["a", "b", "é", " ", "  ", "\n", "\n\n", "\r", "\t", ".", ",", "'s", "1", "\x0b", "\x1c", "\x85", "\u3000", "日", "🙂", "<|endoftext|>", "\0", "e\u0301"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(3000)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.library_encoder(LIBRARY)(texts)] == [direct(x) for x in texts]
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encode = bpe_pieces.codec(RANKS, P.PATTERN).encode
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [plain.encode_ordinary(x) for x in texts]
+
+
 def test_orc_files(spark, docs, rows, direct, tmp_path):
     path = str(tmp_path / "orc")
     token_orc.write_token_orc(docs, path, LIBRARY)
