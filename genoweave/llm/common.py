@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def partitions(spark: SparkSession, least: int = 1) -> int:
 def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts an Arrow batch where the strings of `column` reach `most` bytes, so that Python
     holds few long texts at a time; a longer single text is a slice of its own."""
-    lengths = batch.column(column).to_pandas().str.len().fillna(0).to_numpy()
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     begin, size = 0, 0
     for end, length in enumerate(lengths):
         if size and size + length > most:
