@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Cuts in a generation of a Python worker's memo.
-MEMO = 600_000
+MEMO = 450_000
 #: Longer cuts are not remembered.
 MEMO_CHARS = 64
 
