@@ -2,8 +2,10 @@
 
 A page becomes a tree. Paragraphs pass points, for their length and their commas, to their
 ancestors: all to the parent, half to the grandparent, a third and less above. A node's points are
-discounted by its link density. The best node is the container of the main text; siblings of it that
-score well, or are plain paragraphs, are kept as well. What no article consists of (menus, headers,
+discounted by its link density. The best node is the container of the main text. If it stands in an article, or else in
+a main element, all of that is kept, since a text may lie in several containers with a header, lists and small
+headings beside them. Siblings of what is kept that score well, are plain paragraphs, or share a container below the body and are no lists
+of links, are kept as well. What no article consists of (menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, comments) is cut off the tree before.
 
 A null page counts as empty; an empty page, or one without text, gives the empty string. Markup that
@@ -48,6 +50,8 @@ BESIDE = re.compile(
     r"pagination|pager|login|signup|toolbar|skip)(?:$|[\s_-])",
     re.I,
 )
+#: Of these, what belongs to the text inside an article: its title block, and notes.
+WITHIN = re.compile(r"(?<![^\s_-])(?:header|notice|alert)(?![^\s_-])", re.I)
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 MARK = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true)|display\s*:\s*none", re.I)
@@ -168,13 +172,16 @@ def main_blocks(tree: Tree) -> list[str]:
     for node in range(count - 1, 0, -1):
         if holds[node] or tree.tag[node] in ("article", "main"):
             holds[tree.parent[node]] = True
-    cut, inside = [False] * count, [False] * count
+    cut, inside, article = [False] * count, [False] * count, [False] * count
     for node in range(1, count):
         up, tag, attrs = tree.parent[node], tree.tag[node], tree.attrs[node]
         inside[node] = inside[up] or tag in ("article", "main")
+        article[node] = article[up] or tag == "article"
         cut[node] = cut[up] or tag in CUT and not holds[node] or tag == "header" and not inside[node] and not holds[node]
         if attrs and not cut[node] and not holds[node] and tag not in ("article", "main", "body", "html"):
             marks = " ".join(filter(None, (x for m in MARK.findall(attrs) for x in m)))
+            if article[node]:
+                marks = WITHIN.sub("", marks)
             cut[node] = bool(marks and BESIDE.search(marks)) or bool(HIDDEN.search(attrs))
     blocks = [x for x in tree.blocks if not cut[x[0]]]
     if not blocks:
@@ -200,13 +207,23 @@ def main_blocks(tree: Tree) -> list[str]:
         return points[node] * (1 - linked[node] / chars[node]) if chars[node] else 0.0
 
     best = max(range(count), key=lambda x: (score(x), -x))
-    kept, top = {best}, score(best)
+    top, around = score(best), best
+    while around > 0 and tree.tag[around] != "article":
+        around = tree.parent[around]
+    if around <= 0:
+        around = best
+        while around > 0 and tree.tag[around] != "main":
+            around = tree.parent[around]
+    best = around if around > 0 else best
+    kept = {best}
+    # In a container of their own, siblings are parts of one text; in the body they may be anything.
+    own = best > 0 and tree.tag[tree.parent[best]] not in ("body", "html", "main", "#root")
     for node in tree.children[tree.parent[best]] if best else ():
         if cut[node] or not chars[node]:
             continue
         density = linked[node] / chars[node]
         plain = tree.tag[node] in ("p", "h1", "h2", "pre", "blockquote") and density < 0.25
-        if score(node) >= max(3, 0.2 * top) and density < 0.5 or plain:
+        if score(node) >= max(3, 0.2 * top) and density < 0.5 or plain or own and density < 0.25:
             kept.add(node)
     below = [False] * count
     for node in range(count):

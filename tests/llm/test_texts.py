@@ -90,6 +90,18 @@ def test_odd_pages(page, text):
     assert main_text.main_text(page) == text
 
 
+def test_whole_article():
+    long, short = "<p>" + "word, " * 2 + "more " * 60 + "</p>", "<p>A short, last part.</p>"
+    lines = lambda page: main_text.main_text(page).split("\n")
+    assert lines(f"<article><section>{long * 10}</section><section>{short}</section></article>")[-1] == "A short, last part."
+    assert lines(f"<article><header><h1>Title</h1></header><div>{long * 3}</div></article>")[0] == "Title"
+    assert lines(f'<article><div class="entry-header"><h1>Title</h1></div><div>{long * 3}</div></article>')[0] == "Title"
+    beside = f"<article><div>{long * 5}</div><h3>Small head</h3><ul><li>item</ul><div class=share>Tell others</div></article>"
+    assert lines(beside)[-2:] == ["Small head", "item"]
+    assert lines(f"<main><div>{long * 10}</div><div>{short}</div></main><div>Rights reserved</div>")[-1] == "A short, last part."
+    assert lines(f"<body><div id=x><div>{long * 10}</div><div>{short}</div><div><a>other page</a></div></div>")[-1] == "A short, last part."
+
+
 def test_long_page():
     paragraphs = [f"Paragraph {k}, of many, in a very long page." for k in range(4000)]
     page = "<nav><a>no</a></nav><article>" + "".join(f"<p>{x}</p>" for x in paragraphs) + "</article>"
