@@ -9,8 +9,12 @@ puts its predecessor, by its first byte, at the end of that byte's queue.
 
 The queues are the buckets of a radix priority queue: priority is the first byte, and within a byte
 the order of arrival is the order of suffixes. An entry is a tuple of position and common prefix with the
-entry before it. Queues hold `HELD` tuples in memory and the rest in files, so a pass needs memory
-for the text and a block per queue, not for the order. The common prefix of two neighbours in a
+entry before it. Queues hold `HELD` tuples in memory and the rest in files. The passes stream, but not all does:
+the text's types and the names take some 8-byte arrays of its length, a symbol's whole queue is loaded to be turned,
+`order` gives the whole order and its common prefixes as arrays, and names that repeat are sorted by
+prefix doubling in memory instead of by recursion. More than `INNER` names are an error.
+
+The common prefix of two neighbours in a
 queue is one more than the least one met between the two suffixes that put them there, so it is carried
 along and never recomputed, but for the first entry of a bucket's halves. Common prefixes are cut off at
 `most`, and suffixes that agree in `most` symbols may come in any order.
