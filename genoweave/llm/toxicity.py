@@ -11,8 +11,8 @@ The model is fitted on at most `TRAIN_ROWS` labelled rows, those with the smalle
 held-out rows are never among them. Scoring covers every document, whole texts.
 
 A null text counts as empty and gets the score of a document without features. Null labels are not
-learned from. Without any labelled row of one class every score is the share of toxic rows (0 if there
-are no labels), so nothing is rejected by accident. Repeated rows are scored each. Columns other than
+learned from. Without any labelled row of one class there is nothing to tell apart: every score is 0 and
+nothing is rejected by accident. Repeated rows are scored each. Columns other than
 `doc_id` and `text` (of documents), `doc_id` and `toxic` (of labels) are not read.
 """
 
@@ -123,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, penalty: flo
     totals = {x["toxic"]: x["n"] for x in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     if not n0 or not n1:
-        return Model({}, 0.0, n1 / max(1, n0 + n1))
+        return Model({}, 0.0, 0.0)
     counts = rows.mapInArrow(_counts, "slot long, other int, toxic int").groupBy("slot").agg(
         F.sum("other").alias("other"), F.sum("toxic").alias("toxic")
     )

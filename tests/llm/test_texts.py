@@ -180,3 +180,10 @@ def test_nothing_to_learn_from(labelled, spark):
     for some in (labels.limit(0), labels.filter("toxic = 0")):
         assert {r["score"] for r in toxicity.classify(docs, toxicity.fit(docs, some)).collect()} == {0.0}
     assert toxicity.classify(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
+
+
+def test_toxic_labels_alone_reject_nothing(labelled, spark):
+    docs, labels = labelled
+    model = toxicity.fit(docs, labels.filter("toxic = 1"))
+    assert {r["score"] for r in toxicity.classify(docs, model).collect()} == {0.0}
+    assert toxicity.without_toxic(docs, model).count() == docs.count()
