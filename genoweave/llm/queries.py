@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import block_anchors, bpe_pieces, main_text, oracles, packing, pivot_index, rules, simhash, suffix_shards, token_orc, toxicity
+from genoweave.llm import (
+    block_anchors, bpe_pieces, line_dedup, main_text, oracles, packing, pivot_index, prefix_trie, rules, simhash, suffix_shards, token_orc,
+    toxicity, vector_codes,
+)
 from genoweave.llm.common import keep_in, table
 from genoweave.session import scratch_path
 
@@ -65,6 +68,20 @@ def op10_bpe_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_pieces.digests(bpe_pieces.decode_documents(encoded, path, pattern))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_codes.compress(table(spark, folder, "embeddings"))
+    return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.drop_shared_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,6 +95,9 @@ QUERIES = {
         op8_toxicity,
         op9_suffix_shards,
         op10_bpe_pieces,
+        op11_vector_codes,
+        op12_prefix_trie,
+        op13_line_dedup,
     )
 }
 #: The others need tokenizers, a classifier, XXH64 or byte strings; they are tested against brute force.
@@ -85,4 +105,7 @@ ORACLES = {
     "op2_block_anchors": oracles.BLOCK_ANCHORS,
     "op3_pivot_top_k": oracles.PIVOT_TOP_K,
     "op5_quality_rules": oracles.QUALITY_RULES,
+    "op11_vector_codes": oracles.VECTOR_CODES,
+    "op12_prefix_trie": oracles.PREFIX_TRIE,
+    "op13_line_dedup": oracles.LINE_DEDUP,
 }
