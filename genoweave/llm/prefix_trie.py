@@ -243,7 +243,8 @@ def prefix_trie(conversations: DataFrame, family: int = 20, most_heads: int = 4)
     whole = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).filter("n_convs > 0")
     top = trie.nodes.filter("depth = 1").agg(F.count("*").alias("n_children"))
     total = weights.agg(F.coalesce(F.sum("owns"), F.lit(0)).alias("saved_tokens"), F.coalesce(F.sum("leaf"), F.lit(0)).alias("n_leaves"))
-    root = _beside(whole, top, total)
+    sides = whole.unionByName(top, allowMissingColumns=True).unionByName(total, allowMissingColumns=True)
+    root = sides.agg(*[F.max(c).alias(c) for c in sides.columns]).filter("conv_id is not null")
     root = root.withColumn("n_leaves", F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")))
     columns = ["conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
     least = whole.first()
@@ -259,11 +260,3 @@ def prefix_trie(conversations: DataFrame, family: int = 20, most_heads: int = 4)
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", none).alias("ends_sha256"),
     )
-
-
-def _beside(*rows: DataFrame) -> DataFrame:
-    """One-row tables side by side."""
-    whole = rows[0].withColumn("_one", F.lit(1))
-    for row in rows[1:]:
-        whole = whole.join(row.withColumn("_one", F.lit(1)), "_one")
-    return whole.drop("_one")

@@ -188,7 +188,7 @@ def refine(rows: DataFrame, books: np.ndarray, scale: float) -> np.ndarray:
                     np.add.at(sums[p], index[:, p], whole[:, p * width : (p + 1) * width])
         used = np.flatnonzero(counts.ravel())
         if len(used):
-            flat = sums.reshape(-1, width)[used]
+            flat = sums.reshape(parts * entries, width)[used]
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts.ravel()[used]), pa.array(flat.tolist(), pa.list_(pa.int64()))], ["entry", "n", "sums"])
 
     partial = rows.select("v").mapInArrow(add_up, "entry long, n long, sums array<long>")

@@ -1,0 +1,116 @@
+"""Codes of vectors against plain k-means in integers, and the tree against all distances."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from genoweave.llm import vector_codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, error long"
+
+
+def brute(rows, rounds=2):
+    kept = []
+    for r in rows:
+        if r[1] is not None and all(x is not None and np.isfinite(np.float32(x)) for x in r[1]):
+            kept.append((r[0], [int(np.floor(256 * float(np.float32(x)))) for x in r[1]], r[2]))
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    if not kept:
+        return Counter()
+    width = len(kept[0][1]) // 16
+    parts = [[v[p * width : (p + 1) * width] for p in range(16)] for _, v, _ in kept]
+    books = [[x[p] for x in parts[:64]] for p in range(16)]
+
+    def nearest(book, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, y)), e) for e, y in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(16):
+            groups = defaultdict(list)
+            for x in parts:
+                groups[nearest(books[p], x[p])[1]].append(x[p])
+            books[p] = [[sum(c) // len(groups[e]) for c in zip(*groups[e])] if e in groups else y for e, y in enumerate(books[p])]
+    digest = hashlib.sha256(",".join(str(c) for book in books for y in book for c in y).encode()).hexdigest()
+    done, sums = [], Counter()
+    for (i, _, label), x in zip(kept, parts):
+        pairs = [nearest(books[p], x[p]) for p in range(16)]
+        error = sum(d for d, _ in pairs)
+        sums[label] += error
+        done.append((i, "".join(f"{e:02x}" for _, e in pairs), error, label))
+    return Counter((i, code, error, sums[label], digest) for i, code, error, label in done)
+
+
+def found(spark, rows):
+    out = vector_codes.compress(spark.createDataFrame(rows, SCHEMA).repartition(3)).selectExpr("vec_id", "lower(hex(code))", "error", "label_error", "codebooks_sha256")
+    return Counter(map(tuple, out.collect()))
+
+
+def cases(n, width, seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(scale=0.3, size=(9, width))
+    return [(i, (centres[i % 9] + 0.1 * rng.normal(size=width)).tolist(), i % 4 or None, "x", None) for i in range(n)]
+
+
+def test_codes(spark):
+    rows = cases(300, 48, 1)
+    rows += [rows[3], rows[3], (None, rows[7][1], 1, None, 1), (-5, rows[9][1], None, None, 2)]  # repeated rows, no id, a negative id
+    rows += [(400 + k, rows[3][1], 2, "c", 0) for k in range(150)]  # a third of all are copies
+    rows += [(1, None, 1, None, None), (2, [None] * 48, 1, None, None), (3, [float("nan")] * 48, 1, None, None), (4, [float("-inf")] + [0.5] * 47, 1, None, None)]
+    assert found(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("rows", [[], cases(1, 16, 2), cases(5, 16, 3), [(7, [], 1, None, None)] * 2, [(1, None, None, None, None)]])
+def test_few_rows(spark, rows):
+    assert found(spark, rows) == brute(rows)
+
+
+def test_equal_vectors(spark):
+    rows = [(k, [0.5] * 16, None, None, None) for k in range(80)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_what_has_no_code_fails(spark):
+    for bad in ([0.5] * 32, [0.1] * 15):
+        rows = [(0, [0.5] * 16 if len(bad) == 32 else bad, 1, None, None), (1, bad, 1, None, None)]
+        with pytest.raises(Exception, match="lengths|equal parts"):
+            found(spark, rows)
+    with pytest.raises(Exception, match="do not fit"):
+        found(spark, [(0, [1e30] * 16, 1, None, None)])
+
+
+def test_label_may_be_missing(spark):
+    df = spark.createDataFrame([(r[0], r[1]) for r in cases(20, 16, 4)], "vec_id long, embedding array<double>")
+    assert vector_codes.compress(df).select("label_error").distinct().count() == 1
+
+
+def test_decode_gives_the_error(spark):
+    df = spark.createDataFrame(cases(120, 32, 5), SCHEMA)
+    rows = vector_codes.usable(df)
+    books = vector_codes.fit_codebooks(rows)
+    whole = {r[0]: np.floor(256 * np.array(r[1], np.float32).astype(float)).astype(np.int64) for r in df.collect()}
+    for r in vector_codes.encode(rows, books).collect():
+        assert ((vector_codes.decode(bytes(r["code"]), books) - whole[r["vec_id"]]) ** 2).sum() == r["error"]
+
+
+@pytest.mark.parametrize("seed, entries, spread", [(0, 64, 3), (1, 64, 1000), (2, 200, 40), (3, 7, 2), (4, 64, 0), (5, 1, 5)])
+def test_tree_equals_all_distances(seed, entries, spread):
+    rng = np.random.default_rng(seed)
+    book = rng.integers(-spread, spread + 1, size=(entries, 4))
+    book[entries // 2 :: 3] = book[0]  # copies, for ties
+    points = np.concatenate([rng.integers(-spread, spread + 1, size=(500, 4)), book])
+    tree = vector_codes.Gnat(book)
+    index, away = tree.nearest(points)
+    every = vector_codes.squares(points, book)
+    assert (index == every.argmin(axis=1)).all() and (away == every.min(axis=1)).all()
+
+
+def test_tree_skips_subtrees():
+    rng = np.random.default_rng(9)
+    centres = rng.integers(-4000, 4000, size=(8, 4))
+    book = (centres[:, None] + rng.integers(-40, 40, size=(8, 8, 4))).reshape(64, 4)
+    points = (centres[:, None] + rng.integers(-60, 60, size=(8, 200, 4))).reshape(-1, 4)
+    tree = vector_codes.Gnat(book)
+    tree.nearest(points)
+    assert tree.compared < 0.4 * len(points) * len(book)
