@@ -9,7 +9,7 @@ from genoweave.plans import flows
 from genoweave.plans.queries_groups import pop_codes
 from genoweave.plans.queries_shape import SLICE, strings_and_labels
 from genoweave.plans.registry import SUBQUERIES, query
-from genoweave.session import scratch_path
+from genoweave.session import scratch_path, scratch_table
 from genoweave.sources import delimited, matrix, tables, vcf
 
 VARIATION = (
@@ -156,8 +156,9 @@ def _(x):
     path = scratch_path(x.spark, "provenance")
     loaded = [("sites", "part", x.sites), ("calls", "lineitem", x.calls)]
     rows = tables.provenance(x.spark, [(source, "test", None, name, None, None, None, None) for name, source, _ in loaded])
-    tables.save_table(rows, "provenance_" + path[-32:], path=path)
-    kept = tables.need_table(x.spark, "provenance_" + path[-32:])
+    name = scratch_table(x.spark, "provenance")
+    tables.save_table(rows, name, path=path)
+    kept = tables.need_table(x.spark, name)
     counts = tables.union_tables([df.agg(F.count("*").alias("n")).withColumn("table_name", F.lit(n)) for n, _, df in loaded])
     return kept.select("table_name", F.col("source").alias("source_file")).join(counts, "table_name")
 
@@ -213,7 +214,7 @@ def _(x):
 @query("table_roundtrip", "sites", "select rsid, gene_name, chrom from sites")
 def _(x):
     path = scratch_path(x.spark, "table")
-    name = "sites_" + path[-32:]
+    name = scratch_table(x.spark, "sites")
     rows = x.sites.select("rsid", "gene_name", "chrom")
     tables.empty_copy(rows, name, path)
     tables.append_to(rows.select("chrom", "gene_name", "rsid"), name)
@@ -223,9 +224,9 @@ def _(x):
 @query("catalog_lookup", "coded", "select rsid, alleles, peptides from coded")
 def _(x):
     path = scratch_path(x.spark, "table")
-    name = f"coding{path[-32:]}_filtered_final_spltal"
+    name = scratch_table(x.spark, "coding_filtered_final_spltal")
     tables.save_table(clean.coding_sites(x.sites).select("rsid", "alleles", "peptides"), name, path=path)
-    found = tables.tables_like(x.spark, f"coding{path[-32:]}*_spltal")
+    found = tables.tables_like(x.spark, f"coding*_spltal_{name[-32:]}")
     return tables.need_table(x.spark, found[0])
 
 

@@ -1,6 +1,8 @@
 """Imports every module that registers queries."""
 
 from genoweave.plans import (  # noqa: F401
+    queries_blocks,
+    queries_clustered,
     queries_drugs,
     queries_files,
     queries_groups,

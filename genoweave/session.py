@@ -25,13 +25,15 @@ def build_session(app: str = "genoweave", cpus: int | None = None) -> SparkSessi
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Let adaptive execution split a hot join key even if that costs another shuffle.
+    """Let adaptive execution split a hot join key even if that costs another shuffle, and hand
+    filters to the block-compressed call files.
 
     For sessions of one's own; queries leave the session as it is. Set the same on a cluster.
     """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark
 
 
@@ -64,13 +66,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+# Catalog tables of this process that go with the written files, by application.
+_TABLES: dict[str, list[str]] = {}
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A table name nobody else uses; `remove_written` drops the table."""
+    table = f"{name}_{uuid.uuid4().hex}"
+    drop_later(spark, table)
+    return table
+
+
+def drop_later(spark: SparkSession, table: str) -> None:
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(table)
+
+
 def remove_written(spark: SparkSession, paths: list[str] | None = None) -> int:
     """Deletes `paths`, or all this application has written to the shared folder; their number.
 
-    For the end of a job: DataFrames that still read them can't be used afterwards.
+    Without `paths` the tables of `scratch_table` are dropped too. For the end of a job: DataFrames that
+    still read them can't be used afterwards.
     """
     if paths is None:
         paths = _HANDED_OUT.pop(spark.sparkContext.applicationId, [])
+        for table in _TABLES.pop(spark.sparkContext.applicationId, []):
+            spark.sql(f"drop table if exists `{table}`")
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in paths:
         place = jvm.org.apache.hadoop.fs.Path(path)

@@ -10,6 +10,9 @@ from genoweave.plans.registered import ORACLES, QUERIES
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
+# Queries that run Python on executors, in Arrow batches: a data source, tiles, a caller's own functions.
+PYTHON = {"scan_vcf_blocks", "vcf_block_region"}
+
 
 @pytest.fixture(scope="module")
 def tables():
@@ -33,7 +36,7 @@ def test_query_matches_its_oracle(spark, tables, name):
     df = QUERIES[name](spark, FOLDER)
     text = plan(df)
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in text
+        assert node not in text or (node == "Python" and name in PYTHON)
     # A window without keys may only run over one row per range partition or file block.
     for first in re.findall(r"windowspecdefinition\(([^,]*)", text):
         assert not re.search(r" (ASC|DESC)", first) or re.match(r"(_segment|file)#", first)
