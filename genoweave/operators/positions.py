@@ -2,7 +2,8 @@
 
 The rows are range-partitioned by group and order, written to the shared folder and numbered within
 each partition and group; each partition starts from the sum of the earlier ones. No task sees more than
-its own range, whatever the groups are.
+its own range, whatever the groups are. Rows of one group for all are numbered as they are written, so they
+move once, however wide they are.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ def running_position(
     `order` has to be total: rows that tie in it must be interchangeable. With `dense`
     rows that tie share a position and the distinct positions before them are counted.
     """
+    if not keys and weight is None and not dense:
+        return _row_position(df, order, name)
     amount = F.lit(1) if weight is None else F.col(weight)
     sorts = [sort_column(spec) for spec in order]
 
@@ -72,6 +75,21 @@ def running_position(
     return numbered.join(offsets, condition).select(*columns, (F.col(name) + F.col("_offset")).cast("long").alias(name))
 
 
+def _row_position(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """The number of rows before each row of the whole table."""
+    sorts = [sort_column(spec) for spec in order]
+    ranged = df.repartitionByRange(*sorts).sortWithinPartitions(*sorts)
+    # A row's id counts the rows before it in its partition in its lower 33 bits.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = written(ranged.withColumns({"_segment": F.spark_partition_id(), "_place": place}))
+    before = Window.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_segment").agg(F.count("*").alias("_amount"))
+    starts = sizes.select(F.col("_segment"), F.coalesce(F.sum("_amount").over(before), F.lit(0)).alias("_start"))
+    # One row per range partition, so that the rows themselves stay where they are.
+    placed = rows.join(F.broadcast(starts), "_segment")
+    return placed.select(*df.columns, (F.col("_place") + F.col("_start")).cast("long").alias(name))
+
+
 def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str = "row") -> DataFrame:
     """1, 2, 3 ... inside each group."""
     return running_position(df, keys, order, name).withColumn(name, F.col(name) + 1)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from genoweave.functions.text import list_text, text_list
 from genoweave.operators import drugs as dg
-from genoweave.operators import lists, reshape
+from genoweave.operators import lists, reshape, tiles
 from genoweave.plans import flows
 from genoweave.plans.oracle_parts import page
 from genoweave.plans.queries_sites import coded, codes
@@ -98,15 +98,23 @@ def _(x):
 TRANSPOSED = ["rsid", "gene_name", "chrom_start", "coordinate", "chrom", "frame", "alleles", "codons", "peptides"]
 
 
-@query("transpose_lines", "sites",
+TRANSPOSE = (
        f"select \"column\", page, string_agg(value,',' order by pos) as line from (" + " union all ".join(
            f"select '{c}' as \"column\", chrom_start as pos, {page('', 'chrom_start', 500)} as page, "
            f"replace(cast({c} as varchar),',','') as value from sites" for c in TRANSPOSED)
        + ") t group by 1, 2")
+
+
+@query("transpose_lines", "sites", TRANSPOSE)
 def _(x):
     return reshape.transpose_lines(x.sites, ["chrom_start"], page_items=500)
 
 
+@query("transpose_tiles", "sites", TRANSPOSE)
+def _(x):
+    return tiles.transpose_tiles(x.sites, ["chrom_start"], page_items=500, tile_rows=64, tile_columns=4)
+
+
 @query("column_slice", "sites", "select * from sites")
 def _(x):
     """All vertical slices, and the table they make together again."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from genoweave.functions import alleles as al
 from genoweave.functions import text as tx
-from genoweave.operators import clean, joins, lists, positions
+from genoweave.operators import clean, dictionary, joins, lists, positions
 from genoweave.plans import flows
 from genoweave.plans.oracle_parts import flip, haplotype, page
 from genoweave.plans.registry import query
@@ -260,6 +260,16 @@ def _(x):
     return flows.decode_genotypes(x.calls, codes(x), "l_orderkey", "l_linenumber")
 
 
+@query("decode_dictionary", "decoded",
+       "select patient, gene_name, page, rsid, l_orderkey, l_linenumber, peptide_group from decoded")
+def _(x):
+    """Calls as blocks of sites: genotypes are decoded once per site, the calls are exploded last."""
+    keep = ["patient", "l_orderkey", "l_linenumber"]
+    blocks = dictionary.encode_calls(dictionary.site_blocks(x.calls, ["l_orderkey", "l_linenumber"], keep))
+    decoded = dictionary.decode_dictionary(blocks, codes(x))
+    return dictionary.explode_codes(decoded, ["gene_name", "page", "rsid"], keep)
+
+
 @query("decode_vcf_index", "pairs", "select patient, rsid, l_orderkey, l_linenumber, pair from pairs")
 def _(x):
     rows = x.calls.join(x.sites.select("rsid", "peptides"), "rsid")
