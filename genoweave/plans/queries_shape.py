@@ -14,7 +14,7 @@ from genoweave.plans.oracle_parts import page
 from genoweave.plans.queries_sites import coded, codes
 from genoweave.plans.registry import SUBQUERIES, query
 from genoweave.session import scratch_path, written
-from genoweave.sources import tables
+from genoweave.sources import export, tables
 from genoweave.sources.matrix import paste, read_numbered_lines
 
 SLICE = 60
@@ -218,6 +218,23 @@ def _(x):
     return flows.ml_matrix(strings, labels, x.patients, SLICE)[1]
 
 
+EXPORT = (
+    "select slice, row_number() over (partition by slice order by kind, patient) as line, line as value from ("
+    f"select slice, 0 as kind, null as patient, line from ({_header_sql('features')}) union all "
+    f"select slice, 1, patient, line from ({_lines_sql('matrix_cells')}))"
+)
+
+
+@query("ordered_export", "features matrix_cells", EXPORT)
+def _(x):
+    """The exported files as they lie: every line with its place among its slice's parts."""
+    strings, labels = strings_and_labels(x)
+    header, lines = flows.ml_matrix(strings, labels, x.patients, SLICE)
+    path = scratch_path(x.spark, "export")
+    export.write_ordered_lines(header, lines, path, ["patient"])
+    return export.read_ordered_lines(x.spark, path)
+
+
 @query("ml_matrix_header", "features", _header_sql("features"))
 def _(x):
     return reshape.matrix_header(reshape.matrix_features(strings_and_labels(x)[1], SLICE))
