@@ -10,7 +10,7 @@ from genoweave.plans.queries_groups import pop_codes
 from genoweave.plans.queries_shape import SLICE, strings_and_labels
 from genoweave.plans.registry import SUBQUERIES, query
 from genoweave.session import scratch_path, scratch_table
-from genoweave.sources import delimited, matrix, tables, vcf
+from genoweave.sources import audited, delimited, inference, matrix, tables, vcf
 
 VARIATION = (
     "variation_id bigint, source_id int, rs_name string, validation_status string, "
@@ -148,6 +148,52 @@ def _(x):
     return delimited.rejected_tsv_lines(x.spark, path, "rsid string, chrom string, alleles string")
 
 
+INFERRED = "select * replace (cast(coordinate as bigint) as coordinate, cast(chrom as bigint) as chrom) from sites"
+
+
+@query("scan_inferred_tsv", "sites", INFERRED)
+def _(x):
+    """Names and types come from the file itself."""
+    path = scratch_path(x.spark, "tsv")
+    delimited.write_tsv(x.sites, path, header=True)
+    return inference.read_inferred(x.spark, path)
+
+
+AUDITED = "rsid string, chrom_start bigint, alleles string"
+SHORT, WRONG = "chrom_start%9=0", "chrom_start%7=0"
+
+
+def audited_load(x) -> audited.Load:
+    """Beside some rows stands one of two fields, beside some one whose number is none, beside some a header."""
+    whole = "concat_ws('\t', rsid, chrom_start, alleles)"
+    lines = F.array(
+        F.expr(whole), F.expr(f"case when {SHORT} then concat_ws('\t', rsid, chrom_start) end"),
+        F.expr(f"case when {WRONG} then concat_ws('\t', rsid, 'x'||chrom_start, alleles) end"),
+        F.expr("case when chrom_start%500=0 then 'rsid\tchrom_start\talleles' end"))
+    path = text_lines(x, x.sites.select(F.explode(F.array_compact(lines)).alias("value")), "audited")
+    return audited.load_audited(x.spark, path, AUDITED, scratch_path(x.spark, "loaded"), header=True, source="part")
+
+
+@query("audited_rows", "sites", "select rsid, chrom_start, alleles from sites")
+def _(x):
+    return audited_load(x).rows
+
+
+@query("audited_rejects", "sites",
+       f"select rsid||chr(9)||chrom_start as value, 2 as fields, 'fields' as reason from sites where {SHORT} union all "
+       f"select rsid||chr(9)||'x'||chrom_start||chr(9)||alleles, 3, 'type' from sites where {WRONG}")
+def _(x):
+    return audited_load(x).rejects
+
+
+@query("audited_provenance", "sites",
+       f"select 'part' as source, count(*) + count(*) filter ({SHORT}) + count(*) filter ({WRONG}) + count(*) filter (chrom_start%500=0) as lines, "
+       f"count(*) as rows, count(*) filter ({SHORT}) + count(*) filter ({WRONG}) as rejects, count(*) filter (chrom_start%500=0) as headers, "
+       "0::bigint as blanks from sites")
+def _(x):
+    return audited_load(x).provenance.drop("loaded_at")
+
+
 @query("provenance_table", "sites calls",
        "select 'sites' as table_name, 'part' as source_file, count(*) as n from sites union all "
        "select 'calls', 'lineitem', count(*) from calls")
