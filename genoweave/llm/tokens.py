@@ -9,7 +9,11 @@ as the memo holds it. A cut is encoded by the library itself, so the ids are tho
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
+import sys
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -24,7 +28,6 @@ _HARD = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
 _HARD_LINE = re.compile(r"\n(?:\s|\Z)")
 _LINE = re.compile(r"\n(?=\S)")
-_INNER = re.compile(r"\s")
 
 
 def cuts(text: str) -> list[str]:
@@ -55,8 +58,8 @@ class Encoder:
     so an unknown cut that ends so is put together from its parts.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
-        self.encode_many = encode_many
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 2 * MEMO):
+        self.encode_many, self.most = encode_many, most // 2
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.tails = dict(zip(".,", encode_many([".", ","])))
@@ -64,77 +67,96 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         memo, older, tails = self.memo, self.older, self.tails
-        found, cores = {}, {}
-        for x in new:
-            if x in older:
-                found[x] = older[x]
+        found = {x: older[x] for x in new if x in older}
+        cores, tailed = {}, []
+        for x in new if not found else [x for x in new if x not in found]:
+            if x[-1] in tails and x[-2:-1].isalpha():
+                core = x[:-1]
+                tailed.append((x, core))
+                if core in memo or core in older:
+                    continue
+                cores[core] = None
             else:
-                core = x[:-1] if len(x) > 1 and x[-1] in tails and x[-2].isalpha() else x
-                if core not in memo and core not in older:
-                    cores[core] = None
+                cores[x] = None
         ids = dict(zip(cores, self.encode_many([as_text(x) for x in cores])))
-        for x in new:
-            if x not in found and x not in ids:
-                core = x[:-1]
-                start = ids.get(core) or memo.get(core) or older[core]
-                found[x] = start + tails[x[-1]]
+        for x, core in tailed:
+            found[x] = (ids.get(core) or memo.get(core) or older[core]) + tails[x[-1]]
         found.update(ids)
         return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.memo) > MEMO:
+        if len(self.memo) > self.most:
             self.memo, self.older = {}, self.memo
         memo = self.memo
         memo["\n"] = self.feed
         split = [cuts(text) for text in texts]
-        found = self._learn(list({y for x in split for y in x if y not in memo}))
+        found = self._learn(list(set().union(*split).difference(memo)))
         memo.update(found)
-        out = [b"".join([memo[y] for y in x]) for x in split]
+        out = [b"".join(map(memo.__getitem__, x)) for x in split]
         for x in found:
             if len(x) > MEMO_CHARS:
                 del memo[x]
         return out
 
 
+class WholeEncoder:
+    """Ids of whole texts by the library alone, for files whose pre-tokens are other ones."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+
+
+def byte_characters() -> list[str]:
+    """The character that byte-level files write for each byte: printable ones stand for themselves, the
+    others follow from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)).difference(plain)))}
+    return [chr(rest.get(b, b)) for b in range(256)]
+
+
+def cuts_hold(tokenizer) -> bool:
+    """True if the file's pre-tokens begin where `cuts` cuts: plain byte-level ones, no normalisation."""
+    part = tokenizer.pre_tokenizer
+    state = json.loads(part.__getstate__()) if part is not None else {}
+    return state.get("type") == "ByteLevel" and state.get("use_regex", True) and not state.get("add_prefix_space") and tokenizer.normalizer is None
+
+
 @lru_cache(maxsize=4)
-def library_encoder(path: str) -> Encoder:
+def library_encoder(path: str) -> Encoder | WholeEncoder:
     """Ids by a tokenizers file, without special tokens; their strings in a text are plain text."""
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    feed = tokenizer.encode("\n", add_special_tokens=False).ids
-
-    def one_by_one(pieces: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    if not cuts_hold(tokenizer):
+        return WholeEncoder(tokenizer)
+    model, chars = tokenizer.model, dict(enumerate(byte_characters()))
+    special = [x.content.strip() for x in tokenizer.get_added_tokens_decoder().values()]
+    simple = not any(x.isalpha() for x in special) and sys.byteorder == "little" and array("I").itemsize == 4
+    space = chars[0x20]
 
     def many(pieces: list[str]) -> list[bytes]:
-        """Cuts without inner white space go in one text, a line feed between them; that is a
-        pre-token and a token of its own wherever it stands between two cuts."""
+        """Letters with at most a space in front are one pre-token, which the library's model takes as it is;
+        letters are those up to U+052F, which every version of Unicode in use agrees on."""
         out: list[bytes] = [b""] * len(pieces)
-        joined = [k for k, x in enumerate(pieces) if not _INNER.search(x, 1) and x.strip()]
-        rest = set(range(len(pieces))).difference(joined)
-        for a in range(0, len(joined), 2000):
-            some = joined[a : a + 2000]
-            text = "\n".join([pieces[k] for k in some])
-            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-            at = np.flatnonzero(ids == feed[0]) if len(feed) == 1 else np.zeros(0, int)
-            if len(at) != len(some) - 1:
-                rest.update(some)
-                continue
-            data, begin = ids.tobytes(), 0
-            for k, end in zip(some, [*at.tolist(), len(ids)]):
-                out[k] = data[4 * begin : 4 * end]
-                begin = end + 1
-        left = sorted(k for k in rest if pieces[k])
+        left = []
+        for k, x in enumerate(pieces):
+            core = x[1:] if x[:1] == " " else x
+            if simple and core.isalpha() and max(core) < "\u0530":
+                mapped = x.replace(" ", space) if x.isascii() else x.encode().decode("latin-1").translate(chars)
+                out[k] = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
+            elif x:
+                left.append(k)
         for a in range(0, len(left), 2000):
-            for k, x in zip(left[a : a + 2000], one_by_one([pieces[k] for k in left[a : a + 2000]])):
-                out[k] = x
+            found = tokenizer.encode_batch_fast([pieces[k] for k in left[a : a + 2000]], add_special_tokens=False)
+            for k, x in zip(left[a : a + 2000], found):
+                out[k] = np.array(x.ids, dtype="<u4").tobytes()
         return out
 
     return Encoder(many)
