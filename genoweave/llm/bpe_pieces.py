@@ -4,7 +4,8 @@ The model is serialised here: each token's bytes are mapped to characters, one p
 piece is scored by its negative rank, so that the library's merges (highest score first, leftmost
 first) are those of the ranks. Normalisation is the identity: no dummy prefix, no escaped or removed
 white space. Pre-tokens are encoded one by one; one that is a token itself takes its rank at once, as
-the ranks' own library does. Decoding maps pieces back to bytes.
+the ranks' own library does. Decoding takes the model's pieces and maps their characters back to bytes. The
+registered query encodes, decodes and digests a slice of texts in one pass of one Python worker.
 
 Null texts count as empty. An empty text has no ids. Repeated rows are kept; an empty table gives no
 rows. Columns other than `doc_id` and `text` are not read.
@@ -24,6 +25,8 @@ from pyspark.sql import DataFrame
 from genoweave.llm.common import documents, slices
 from genoweave.llm.tokens import Encoder, read_ranks
 
+#: Bytes of an encoder's memo, and what a cut takes there with its ids, about.
+MEMO_BYTES, CUT_BYTES = 160 << 20, 240
 #: Byte b is written as this character; all of them are letters without a special meaning.
 BYTE_CHARS = [chr(0x4E00 + b) for b in range(256)]
 
@@ -69,18 +72,22 @@ def serialise_model(ranks: dict[bytes, int]) -> bytes:
     return b"".join(out) + _field(1, unknown) + _field(2, trainer) + _field(3, normalizer)
 
 
-class PieceCodec:
-    """Encodes and decodes whole texts by a file of ranks."""
+def _processor(ranks: dict[bytes, int]):
+    import sentencepiece
 
-    def __init__(self, path: str, pattern: str):
+    return sentencepiece.SentencePieceProcessor(model_proto=serialise_model(ranks))
+
+
+class PieceEncoder:
+    """Encodes whole texts by a file of ranks."""
+
+    def __init__(self, path: str, pattern: str, memo: int = MEMO_BYTES):
         import regex
-        import sentencepiece
 
         self.ranks = read_ranks(path)
-        self.tokens = sorted(self.ranks, key=self.ranks.__getitem__)
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(self.ranks))
+        self.model = _processor(self.ranks)
         self.pieces = regex.compile(pattern).findall
-        self.encode = Encoder(self._many)
+        self.encode = Encoder(self._many, memo // CUT_BYTES)
 
     def _many(self, cuts: list[str]) -> list[bytes]:
         split = [[x.encode() for x in self.pieces(cut)] for cut in cuts]
@@ -90,23 +97,37 @@ class PieceCodec:
         ids = [[y for x in p for y in ((self.ranks[x],) if x in self.ranks else found[x])] for p in split]
         return [np.array(x, dtype="<u4").tobytes() for x in ids]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join([self.tokens[x] for x in ids])
+
+class PieceDecoder:
+    """The bytes of each piece of a model, by the inverse of the byte characters."""
+
+    def __init__(self, model):
+        pieces = model.id_to_piece(list(range(model.get_piece_size() - 1)))
+        self.bytes = [piece.translate(_TO_LATIN).encode("latin-1") for piece in pieces]
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids))
 
 
 _TO_CHARS = {b: BYTE_CHARS[b] for b in range(256)}
+_TO_LATIN = {ord(c): chr(b) for b, c in enumerate(BYTE_CHARS)}
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str, pattern: str) -> PieceEncoder:
+    return PieceEncoder(path, pattern)
 
 
 @lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> PieceCodec:
-    return PieceCodec(path, pattern)
+def decoder_of(path: str) -> PieceDecoder:
+    return PieceDecoder(_processor(read_ranks(path)))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """`doc_id` and `ids`, an array of the ranks of its tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = codec(path, pattern).encode
+        encode = encoder_of(path, pattern).encode
         for batch in batches:
             for part in slices(batch, "text"):
                 ids = encode(part.column("text").to_pylist())
@@ -118,11 +139,11 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return documents(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `ids` and `decoded`, the bytes that the ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = codec(path, pattern).decode
+        decode = decoder_of(path).decode
         for batch in batches:
             ids = batch.column("ids")
             values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
@@ -134,22 +155,22 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """The digest columns of the registered query."""
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """`doc_id`, `n_tokens`, and the digests of its ids and of the bytes they decode to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(path, pattern)
+        decode = PieceDecoder(encoder.model).decode
+        sha = hashlib.sha256
         for batch in batches:
-            ids = batch.column("ids")
-            values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            texts = [",".join(map(str, values[a:b].tolist())) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.diff(offsets), pa.int64()),
-                    pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts], pa.string()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in batch.column("decoded").to_pylist()], pa.string()),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            for part in slices(batch, "text", 1 << 20):
+                counts, of_ids, of_bytes = [], [], []
+                for packed in encoder.encode(part.column("text").to_pylist()):
+                    ids = np.frombuffer(packed, "<u4").tolist()
+                    counts.append(len(ids))
+                    of_ids.append(sha(",".join(map(str, ids)).encode()).hexdigest())
+                    of_bytes.append(sha(decode(ids)).hexdigest())
+                arrays = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return documents(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -63,9 +63,8 @@ def op9_suffix_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_bpe_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    path, pattern = public_tokenizers.path(RANKS_FILE), public_tokenizers.PATTERN
-    encoded = bpe_pieces.encode_documents(table(spark, folder, "documents"), path, pattern)
-    return bpe_pieces.digests(bpe_pieces.decode_documents(encoded, path, pattern))
+    docs = table(spark, folder, "documents")
+    return bpe_pieces.round_trip(docs, public_tokenizers.path(RANKS_FILE), public_tokenizers.PATTERN)
 
 
 def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:

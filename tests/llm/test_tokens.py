@@ -1,6 +1,7 @@
 """Token ids, their ORC files, byte-level pieces and packing against the libraries themselves."""
 
 import base64
+import hashlib
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -42,12 +43,12 @@ def test_encoders_on_random_texts(direct):
     import random
 
     rng = random.Random(6)
-    parts = ["a", "b", "é", " ", "  ", "\n", "\n\n", "\r", "\t", ".", ",", "'s", "1", "\x0b", "\x1c", "\x85", "\u3000", "日", "🙂", "<|endoftext|>", "\0", "e\u0301"]
+    parts = ["a", "b", "Ω", "ж", "ʰ", "\u0530", "ª", "ǅ", "é", " ", "  ", "\n", "\n\n", "\r", "\t", ".", ",", "'s", "1", "\x0b", "\x1c", "\x85", "\u3000", "日", "🙂", "<|endoftext|>", "\0", "e\u0301"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(3000)]
     assert [np.frombuffer(x, "<u4").tolist() for x in tokens.library_encoder(LIBRARY)(texts)] == [direct(x) for x in texts]
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    encode = bpe_pieces.codec(RANKS, P.PATTERN).encode
+    encode = bpe_pieces.encoder_of(RANKS, P.PATTERN).encode
     assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [plain.encode_ordinary(x) for x in texts]
 
 
@@ -83,15 +84,34 @@ def test_pieces_are_the_ranks_library(docs, rows):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     encoded = bpe_pieces.encode_documents(docs, RANKS, P.PATTERN)
-    decoded = bpe_pieces.decode_documents(encoded, RANKS, P.PATTERN).collect()
+    decoded = bpe_pieces.decode_documents(encoded, RANKS).collect()
     expected = Counter((r[0], tuple(plain.encode_ordinary(r[1] or "")), (r[1] or "").encode()) for r in rows)
     assert Counter((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in decoded) == expected
-    assert bpe_pieces.digests(bpe_pieces.decode_documents(encoded, RANKS, P.PATTERN)).count() == len(rows)
+    digests = bpe_pieces.round_trip(docs, RANKS, P.PATTERN).collect()
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    of_rows = Counter((i, len(ids), sha(",".join(map(str, ids)).encode()), sha(text)) for i, ids, text in expected.elements())
+    assert Counter(map(tuple, digests)) == of_rows
+
+
+def test_decoding_takes_the_pieces_of_the_model():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"\xff\x00": 257, "é".encode(): 258}
+    decoder = bpe_pieces.PieceDecoder(bpe_pieces._processor(ranks))
+    assert [decoder.decode([k]) for k in ranks.values()] == list(ranks)
+
+
+def test_files_with_other_pre_tokens_are_encoded_whole(rows):
+    path = P.path("word_bpe_49k.json")
+    encoder = tokens.library_encoder(path)
+    assert isinstance(encoder, tokens.WholeEncoder)
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    texts = [r[1] or "" for r in rows]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def test_no_pieces(no_docs):
     encoded = bpe_pieces.encode_documents(no_docs, RANKS, P.PATTERN)
-    assert bpe_pieces.decode_documents(encoded, RANKS, P.PATTERN).count() == 0
+    assert bpe_pieces.decode_documents(encoded, RANKS).count() == 0
 
 
 @pytest.mark.parametrize("size", [16, 1024])
