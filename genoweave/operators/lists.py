@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.functions.text import list_text, quoted
+from genoweave.functions.text import list_entry, list_text
 from genoweave.operators.positions import running_position
 from genoweave.session import written
 
@@ -118,7 +118,7 @@ def group_lists(
 def _run_lists(
     runs: DataFrame, keys: list[str], value: str, name: str, page_items: int
 ) -> DataFrame:
-    entries = runs.withColumn(value, quoted(F.col(value)))
+    entries = runs.withColumn(value, list_entry(F.col(value)))
     lists = _run_pages(entries, keys, value, ", ", name, page_items)
     return lists.withColumn(name, F.concat(F.lit("["), F.col(name), F.lit("]")))
 

@@ -159,6 +159,20 @@ def _(x):
                        F.col("ids")[0].alias("first"))
 
 
+ODD = "case when chrom_start%5=0 then gene_name||', '||rsid when chrom_start%5=1 then 'it''s '||rsid when chrom_start%5=2 then null else rsid||'\"'||'\\' end"
+
+
+@query("list_entries_roundtrip", "sites",
+       f"select chrom, cast(row_number() over (partition by chrom order by chrom_start)-1 as int) as at, {ODD} as value from sites")
+def _(x):
+    """Every entry of every list, as it comes back from its text: separators, quotes and missing values inside."""
+    odd = x.sites.select("chrom", "chrom_start", F.expr(ODD.replace("'it''s '", "\"it's \"").replace("\\'", "\\\\'")).alias("value"))
+    arrays = lists.group_arrays(odd, ["chrom"], "value", ["chrom_start"], "values")
+    back = arrays.select("chrom", "page", text_list(list_text(F.col("values"))).alias("values"))
+    rows = back.select("chrom", "page", F.posexplode("values").alias("at", "value"))
+    return rows.select("chrom", (F.col("page") * lists.PAGE_ITEMS + F.col("at")).cast("int").alias("at"), "value")
+
+
 # The matrix: features in gene order, SLICE of them per line.
 SUBQUERIES.update({
     "features": (

@@ -125,6 +125,28 @@ def test_ids_by_gene(frame):
     assert [(r.gene_name, r.page, r.rsids) for r in paged][:2] == [("LRRD1", 0, "rs14160"), ("LRRD1", 1, "rs14161")]
 
 
+ENTRIES = ["a, b", "c", "it's", 'say "x"', "both ' and \"", "back\\slash", "\\", "\\n", "line\nfeed\ttab\r", "", "None", None, "', '", "[x]", "é🙂", "\\'"]
+
+
+def test_list_text_of_any_entries(frame):
+    df = frame("v array<string>", (ENTRIES,), (ENTRIES[:1],), ([None],), ([None, "x"],), ([],), (None,))
+    rows = df.select("v", list_text(F.col("v")).alias("t")).select("v", "t", text_list(F.col("t")).alias("w")).collect()
+    assert all(r.v == r.w for r in rows)
+    assert all(r.t == repr(r.v) for r in rows if r.v is not None)
+    assert rows[0].t.startswith("['a, b', 'c', \"it's\", ")
+
+
+def test_long_list_texts(frame):
+    many = [f"rs{k} it's" if k % 3 else f"rs{k}\\" for k in range(10_000)] + ["x'\"" * 20_000]
+    row = frame("v array<string>", (many,)).select(text_list(list_text(F.col("v"))).alias("w")).first()
+    assert row.w == many
+
+
+def test_texts_that_are_no_lists(frame):
+    bad = ["", "[", "[a]", "['a'", "['a','b']", "['a', ]", "['a' 'b']", "['it's']", "x['a']", "None"]
+    assert all(r[0] is None for r in frame("t string", *[(x,) for x in bad]).select(text_list(F.col("t"))).collect())
+
+
 def test_list_text_round_trip(frame):
     df = frame("v array<string>", (["a", "b"],), (["a"],), ([],))
     back = df.select("v", text_list(list_text(F.col("v"))).alias("w")).collect()
