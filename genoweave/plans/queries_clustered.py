@@ -10,6 +10,8 @@ from genoweave.plans.queries_sites import TWO_TRANSCRIPTS, coded, transcripts
 from genoweave.plans.registry import query
 from genoweave.session import drop_later, scratch_path, scratch_table, written
 from genoweave.sources.clustered import Clustered, calls_of_sites, join_clustered, save_clustered
+from genoweave.sources.tables import write_by_chromosome
+from genoweave.sources.updates import update_folders
 
 BUCKETS = 8
 
@@ -52,3 +54,14 @@ def _(x):
 def _(x):
     """The calls of three sites."""
     return call_table(x).find(["rs7", "rs19", "rs131"]).select("patient", "rsid", "gt")
+
+
+@query("folder_update", "sites",
+       "select rsid, chrom, case when chrom in ('3','7') and chrom_start%2=0 then alleles||'!' else alleles end as alleles from sites")
+def _(x):
+    """A table by chromosome after an update that touches two of its folders."""
+    path = scratch_path(x.spark, "folders")
+    write_by_chromosome(x.sites.select("rsid", "alleles", "chrom"), path)
+    values = x.sites.filter("chrom in ('3','7') and chrom_start%2=0").select("rsid", "chrom", F.lit("!").alias("alleles"))
+    update_folders(x.spark, path, values, ["rsid"], "alleles", "chrom")
+    return x.spark.read.schema("rsid string, alleles string, chrom string").parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from genoweave.operators import clean, lists, ranks
+from genoweave.operators import clean, heavy, lists, ranks, user_aggregates
 from genoweave.plans import flows
 from genoweave.plans.oracle_parts import page
 from genoweave.plans.queries_sites import codes
@@ -36,6 +36,14 @@ def _(x):
     return clean.top_values(clean.column_profile(x.sites), 20)
 
 
+@query("top_values_bounded", "sites",
+       f"select * from ({PROFILE_SQL}) t order by count desc, \"column\", value limit 20")
+def _(x):
+    """The same from summaries of 64 values a column and task; columns they do not prove are counted in full."""
+    found = heavy.top_values(written(x.sites), 20, entries=64).withColumnRenamed("n", "count")
+    return clean.top_values(found.drop("rank"), 20)
+
+
 @query("group_list_text", "calls sites",
        "select gene_name, pos//1000 as page, "
        "'['||string_agg(''''||rsid||'''', ', ' order by rsid)||']' as rsids_list from "
@@ -66,6 +74,36 @@ def _(x):
     return lists.distinct_concat(x.sites, "gene_name", page_items=100)
 
 
+@query("user_distinct_concat", "sites",
+       "select gene_name, " + ", ".join(f"string_agg(distinct {c}, '' order by {c}) as {c}" for c in ("alleles", "codons", "peptides"))
+       + " from sites group by gene_name")
+def _(x):
+    """Distinct values of every column, sorted and joined, by a caller's own functions over pages of 50 rows."""
+    names = ["alleles", "codons", "peptides"]
+
+    def distinct(table):
+        import pyarrow as pa
+
+        parts = [pa.table({"name": [n] * len(v), "value": v}, pa.schema([("name", pa.string()), ("value", pa.string())]))
+                 for n in table.column_names for v in [table[n].combine_chunks().unique().drop_null()]]
+        return pa.concat_tables(parts)
+
+    def merge(table):
+        return table.group_by(["name", "value"]).aggregate([]).select(["name", "value"])
+
+    def finish(table):
+        import pyarrow as pa
+
+        rows = sorted(zip(*(table[c].to_pylist() for c in ("name", "value"))))
+        return pa.table({n: ["".join(v for m, v in rows if m == n)] for n in names})
+
+    rows = x.sites.select("gene_name", "rsid", *names)
+    keyed = user_aggregates.aggregate_pages(
+        rows, ["gene_name"], ["rsid"], lambda t: distinct(t.select(names)), merge, finish, "name string, value string",
+        ", ".join(f"{n} string" for n in names), page_items=50, fan_in=2)
+    return keyed
+
+
 @query("rsids_by_gene_space", "header", "select gene_name, page, rsids from header")
 def _(x):
     return flows.header_rsids(codes(x))

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
 # Queries that run Python on executors, in Arrow batches: a data source, tiles, a caller's own functions.
-PYTHON = {"scan_vcf_blocks", "vcf_block_region", "transpose_tiles"}
+PYTHON = {"scan_vcf_blocks", "vcf_block_region", "transpose_tiles", "typed_info_alleles", "top_values_bounded", "user_distinct_concat"}
 
 
 @pytest.fixture(scope="module")
