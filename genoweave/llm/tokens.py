@@ -20,7 +20,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Cuts in a generation of a Python worker's memo.
-MEMO = 450_000
+MEMO = 600_000
 #: Longer cuts are not remembered.
 MEMO_CHARS = 64
 
@@ -136,7 +136,7 @@ def library_encoder(path: str) -> Encoder | WholeEncoder:
     tokenizer.encode_special_tokens = True
     if not cuts_hold(tokenizer):
         return WholeEncoder(tokenizer)
-    model, chars = tokenizer.model, dict(enumerate(byte_characters()))
+    tokenize, chars = tokenizer.model.tokenize, dict(enumerate(byte_characters()))
     special = [x.content.strip() for x in tokenizer.get_added_tokens_decoder().values()]
     simple = not any(x.isalpha() for x in special) and sys.byteorder == "little" and array("I").itemsize == 4
     space = chars[0x20]
@@ -148,11 +148,15 @@ def library_encoder(path: str) -> Encoder | WholeEncoder:
         left = []
         for k, x in enumerate(pieces):
             core = x[1:] if x[:1] == " " else x
-            if simple and core.isalpha() and max(core) < "\u0530":
-                mapped = x.replace(" ", space) if x.isascii() else x.encode().decode("latin-1").translate(chars)
-                out[k] = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
-            elif x:
+            if not (simple and core.isalpha()):
                 left.append(k)
+            elif x.isascii():
+                out[k] = array("I", [t.id for t in tokenize(x.replace(" ", space))]).tobytes()
+            elif max(core) < "\u0530":
+                out[k] = array("I", [t.id for t in tokenize(x.encode().decode("latin-1").translate(chars))]).tobytes()
+            else:
+                left.append(k)
+        left = [k for k in left if pieces[k]]
         for a in range(0, len(left), 2000):
             found = tokenizer.encode_batch_fast([pieces[k] for k in left[a : a + 2000]], add_special_tokens=False)
             for k, x in zip(left[a : a + 2000], found):
