@@ -6,9 +6,12 @@ discounted by its link density. The best node is the container of the main text.
 a main element, all of that is kept, since a text may lie in several containers with a header, lists and small
 headings beside them. Siblings of what is kept that score well, are plain paragraphs, or share a container below the body and are no lists
 of links, are kept as well. What no article consists of (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, comments) is cut off the tree before.
+footers, sidebars, notices, adverts, forms, scripts, styles, comments) is cut off the tree before. An element or a
+name does not decide that alone: what holds the page's article, or most of its words where no article or main element
+is marked, stays, names such as `has-sidebar` speak of another part, and a paragraph is cut only if its name is
+the word itself. Reader comments go by any name with the word in it, however long they are.
 
-A null page counts as empty; an empty page, or one without text, gives the empty string. Markup that
+Very long pages are read whole, one at a time. A null page counts as empty; an empty page, or one without text, gives the empty string. Markup that
 is never closed is closed where its parent ends. Repeated rows are extracted each; an empty table gives no
 rows. Columns other than `page_id`, `url` and `html` are not read.
 """
@@ -33,10 +36,12 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
-CUT = frozenset(
-    "script style noscript template textarea title xmp iframe noembed noframes object embed canvas svg head nav footer "
-    "aside form button select option input fieldset menu dialog".split()
+NEVER = frozenset(
+    "script style noscript template textarea title xmp iframe noembed noframes object embed canvas svg head button select "
+    "option input".split()
 )
+#: Parts beside the text, unless they hold it.
+ASIDE = frozenset("nav footer aside form fieldset menu dialog".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd h2 h3 h4 h5 h6".split())
 #: Open elements that a start tag ends, and the elements the search for them stops at.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -50,6 +55,10 @@ BESIDE = re.compile(
     r"pagination|pager|login|signup|toolbar|skip)(?:$|[\s_-])",
     re.I,
 )
+#: Names of reader comments, wherever the word stands in a name.
+COMMENTS = re.compile(r"comment(?!ar)|repl(?:y|ies)(?:$|[\s_-])|disqus|(?:^|[\s_-])(?:respond|responses|discussion|guestbook)(?:$|[\s_-])", re.I)
+#: A name that speaks of another part, such as `has-sidebar`.
+OF_OTHERS = re.compile(r"(?<![^\s_-])(?:has|with|without|no|hide|show)[_-]?(?:\w+[_-])?(?:side-?bar|menu|nav|header|footer|banner|widgets?|comments?)(?![^\s])", re.I)
 #: Of these, what belongs to the text inside an article: its title block, and notes.
 WITHIN = re.compile(r"(?<![^\s_-])(?:header|notice|alert)(?![^\s_-])", re.I)
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -165,6 +174,19 @@ def parse(page: str) -> Tree:
     return tree
 
 
+def _beside(tag: str, names: str, article: bool, inside: bool, title: bool) -> bool:
+    """True if a class, id or role names a part beside the text."""
+    names = OF_OTHERS.sub("", names)
+    if tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or tag not in BLOCK:
+        # A paragraph's name has to be the word itself: a share price is no share button.
+        return any(BESIDE.fullmatch(x) for x in names.split() if not (article and WITHIN.fullmatch(x)))
+    if article:
+        names = WITHIN.sub("", names)
+    elif inside and title:
+        names = re.sub("header", "", names, flags=re.I)
+    return bool(BESIDE.search(names))
+
+
 def main_blocks(tree: Tree) -> list[str]:
     """The blocks of the best container and of the siblings that belong to it, in page order."""
     count = len(tree.tag)
@@ -172,17 +194,35 @@ def main_blocks(tree: Tree) -> list[str]:
     for node in range(count - 1, 0, -1):
         if holds[node] or tree.tag[node] in ("article", "main"):
             holds[tree.parent[node]] = True
+    size, in_links, title = [0] * count, [0] * count, [False] * count
+    for node, text, links in tree.blocks:
+        while node >= 0:
+            size[node] += len(text)
+            in_links[node] += links
+            node = tree.parent[node]
+    for node in range(count - 1, 0, -1):
+        if tree.tag[node] == "h1" or title[node]:
+            title[node] = title[tree.parent[node]] = True
+    marked = any(tree.tag[node] in ("article", "main") and size[node] for node in range(count))
+
+    def holds_text(node: int) -> bool:
+        """True if the page's text is here: no article stands elsewhere, and most of the words, few of them links, are in `node`."""
+        return holds[node] or not marked and 2 * size[node] > size[0] and 2 * in_links[node] < size[node]
+
     cut, inside, article = [False] * count, [False] * count, [False] * count
     for node in range(1, count):
         up, tag, attrs = tree.parent[node], tree.tag[node], tree.attrs[node]
         inside[node] = inside[up] or tag in ("article", "main")
         article[node] = article[up] or tag == "article"
-        cut[node] = cut[up] or tag in CUT and not holds[node] or tag == "header" and not inside[node] and not holds[node]
-        if attrs and not cut[node] and not holds[node] and tag not in ("article", "main", "body", "html"):
-            marks = " ".join(filter(None, (x for m in MARK.findall(attrs) for x in m)))
-            if article[node]:
-                marks = WITHIN.sub("", marks)
-            cut[node] = bool(marks and BESIDE.search(marks)) or bool(HIDDEN.search(attrs))
+        # A header inside a container of the page that bears the title is the text's own.
+        own = title[node] and tree.tag[up] not in ("body", "html", "#root") and 2 * in_links[node] < size[node]
+        beside = tag in ASIDE or tag == "header" and not inside[node] and not own
+        cut[node] = cut[up] or tag in NEVER or beside and not holds_text(node)
+        if attrs and not cut[node] and tag not in ("article", "main", "body", "html"):
+            names = " ".join(filter(None, (x for m in MARK.findall(attrs) for x in m)))
+            comments = tag in BLOCK and bool(COMMENTS.search(OF_OTHERS.sub("", names))) and not holds[node] and not title[node]
+            named = comments or _beside(tag, names, article[node], inside[node], title[node]) and not holds_text(node)
+            cut[node] = bool(HIDDEN.search(attrs)) or named
     blocks = [x for x in tree.blocks if not cut[x[0]]]
     if not blocks:
         return []

@@ -109,6 +109,76 @@ def test_long_page():
     assert main_text.main_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+LONG = "word, " * 3 + "more " * 50
+PARA = f"<p>{LONG}</p>"
+BODY = "\n".join([" ".join(LONG.split())] * 3)
+SAID = "<p>he said this, that, and the other thing, at some length, and then more of it</p>"
+
+
+@pytest.mark.parametrize("page, wanted", [
+    (f'<body><div id="page" class="has-sidebar"><h1>T</h1>{PARA * 3}</div></body>', "T\n" + BODY),
+    (f'<body><form id="aspnetForm" action="x"><h1>T</h1>{PARA * 3}</form></body>', "T\n" + BODY),
+    (f'<main><div class="page-header"><h1>T</h1></div>{PARA * 3}</main>', "T\n" + BODY),
+    (f'<article>{PARA * 3}<p class="share-price">The price rose.</p></article>', BODY + "\nThe price rose."),
+    (f'<main>{PARA * 3}<ol class="commentlist"><li>{SAID}</li></ol></main>', BODY),
+    (f'<main>{PARA * 3}<section id="replies">{SAID}</section></main>', BODY),
+    (f'<body><div class="post">{PARA * 3}</div><ol class="commentlist">{SAID * 30}</ol></body>', BODY),
+    (f'<body><div class="layout no-header">{PARA * 3}</div><div class="ad">Buy it.</div></body>', BODY),
+    (f'<body><div id="content-with-sidebar">{PARA * 3}</div><div id="sidebar">{SAID}</div></body>', BODY),
+    (f'<body><div class="commentary">{PARA * 3}</div><div class="comments-area">{SAID}</div></body>', BODY),
+    (f'<body><div class="post"><header><h1>T</h1></header>{PARA * 3}</div></body>', "T\n" + BODY),
+    (f'<body><header><h1><a href=x>Site</a></h1></header><article>{PARA * 3}</article></body>', BODY),
+    (f'<article>{PARA * 3}<p class="ad">Buy it.</p><div class="social-share">Tell others</div></article>', BODY),
+    (f'<article>{PARA * 3}<form><p>Your mail</p><button>Send</button></form></article>', BODY),
+    (f'<body><nav>{"<a href=x>many words in a link</a> " * 300}</nav><div>{PARA * 3}</div></body>', BODY),
+    (f'<article>{PARA * 3}</article><div class="widget">{SAID * 40}</div>', BODY),
+    (f'<main><div class="notice">We use cookies.</div>{PARA * 3}</main>', BODY),
+    (f'<body><div class="post hide-comments">{PARA * 3}</div><div id="disqus_thread">{SAID}</div></body>', BODY),
+])
+def test_a_name_does_not_decide_alone(page, wanted):
+    assert main_text.main_text(page) == wanted
+
+
+def test_pages_of_the_tables_against_another_parser():
+    """The articles of all pages of a table, cut into blocks by the standard library's parser."""
+    import html.parser
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    path = Path("/root/testdata/sf0.01/pages.parquet")
+    if not path.exists():
+        pytest.skip("no test tables")
+
+    class Blocks(html.parser.HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.out = False, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside |= tag == "article"
+            if tag in ("p", "h1", "article"):
+                self.out.append("")
+            if tag == "br":
+                self.out[-1] += " "
+
+        def handle_endtag(self, tag):
+            self.inside &= tag != "article"
+            if tag in ("p", "h1", "article"):
+                self.out.append("")
+
+        def handle_data(self, data):
+            if self.inside:
+                self.out[-1] += data
+
+    for page in pq.read_table(path, columns=["html"]).column("html").to_pylist():
+        parser = Blocks()
+        parser.feed(page)
+        parser.close()
+        blocks = [" ".join(x.split()) for x in parser.out]
+        assert main_text.main_text(page) == "\n".join(x for x in blocks if x)
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "", "x")]
     schema = "page_id long, url string, html string, text string"
