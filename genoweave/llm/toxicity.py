@@ -7,8 +7,10 @@ them. Training sentences that hold an identity term are paired with copies in wh
 swapped for another, or for a word without a weight; the fit penalises the squared change of score over those pairs, so that the mere
 mention of a group moves no score.
 
-The model is fitted on at most `TRAIN_ROWS` labelled rows, those with the smallest hash of `doc_id`;
-held-out rows are never among them. Scoring covers every document, whole texts.
+The model is fitted on at most `TRAIN_ROWS` labelled documents, those with the smallest hash of `doc_id`, one row each:
+of several labels of one id the toxic one counts, of several texts the one of the smallest hash. Held-out rows are never among
+them. The bias counts both classes alike, however few toxic documents there are, so a score is the chance of a text that is as
+likely toxic as not before it is read. Scoring covers every document, whole texts.
 
 A null text counts as empty and gets the score of a document without features. Null labels are not
 learned from. Without any labelled row of one class there is nothing to tell apart: every score is 0 and
@@ -32,10 +34,12 @@ from genoweave.llm.common import documents, keep_in, slices
 
 #: The most labelled rows the classifier is fitted on.
 TRAIN_ROWS = 20_000
-#: The most features it uses.
-FEATURES = 4_000
+#: The most features it uses, and the most different sentence pairs, those of most sentences first.
+FEATURES, PAIRS = 4_000, 50_000
+#: Training documents that a feature has to be in, and how surely (in standard errors) it has to tell the classes apart.
+LEAST_DOCS, SURELY = 2, 3.0
 #: The price of a weight, against the mean logistic loss.
-SPARSE = 1e-4
+SPARSE = 1e-5
 #: A feature is hashed to one of these.
 SLOTS = 1 << 20
 
@@ -102,8 +106,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     the documents, so they may be broadcast (16 bytes a row)."""
     use = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     use = use.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    use = use.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(most)
-    return documents(docs).join(F.broadcast(use), "doc_id").select("text", "toxic")
+    use = use.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    # One text per id, so there are no more of them than labels.
+    found = documents(docs).join(F.broadcast(use), "doc_id")
+    return found.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.min("toxic").alias("toxic")).drop("doc_id")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, penalty: flo
     )
     share = (F.col("toxic") + F.col("other")) / (n0 + n1)
     surely = (F.col("toxic") / n1 - F.col("other") / n0) / F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1) + 1e-12)
-    chosen = counts.filter((F.col("toxic") + F.col("other") >= 5) & (F.abs(surely) >= 5))
+    chosen = counts.filter((F.col("toxic") + F.col("other") >= LEAST_DOCS) & (F.abs(surely) >= SURELY))
     chosen = chosen.orderBy(F.abs(surely).desc(), "slot").limit(FEATURES).select("slot").collect()
     swaps = _others()
     slots = sorted({x["slot"] for x in chosen} | {slot("=" + x) for x in swaps})
@@ -162,23 +168,27 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, penalty: flo
                 ["toxic", "found", "pairs"],
             )
 
+    both = keep_in(rows.mapInArrow(sparse, "toxic int, found array<int>, pairs array<array<int>>"), "sparse")
     # At most `most` rows of at most FEATURES small numbers each; few features are in any text.
-    data = rows.mapInArrow(sparse, "toxic int, found array<int>, pairs array<array<int>>").collect()
+    data = both.select("toxic", "found").collect()
+    alike = both.select(F.explode("pairs").alias("pair")).filter(F.size("pair") > 0).groupBy("pair").agg(F.count("*").alias("n"))
+    alike = alike.orderBy(F.desc("n"), "pair").limit(PAIRS).collect()
     y = np.array([x["toxic"] for x in data], dtype=float)
     row = np.repeat(np.arange(len(data)), [len(x["found"]) for x in data])
     col = np.array([c for x in data for c in x["found"]], dtype=np.int64)
-    pairs = [p for x in data for p in x["pairs"] if p]
+    pairs = [x["pair"] for x in alike]
     prow = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
     pcol = np.array([c if c >= 0 else -1 - c for p in pairs for c in p], dtype=np.int64)
     psign = np.array([1.0 if c >= 0 else -1.0 for p in pairs for c in p])
-    w = _minimise(row, col, y, prow, pcol, psign, len(slots), penalty)
-    b = float(w[-1])
+    share = np.array([x["n"] for x in alike], dtype=float)
+    w = _minimise(row, col, y, prow, pcol, psign, len(slots), penalty, share / max(1.0, share.sum()))
+    b = float(w[-1]) + float(np.log(n0 / n1))
     return Model({s: float(x) for s, x in zip(slots, w[:-1]) if x}, b)
 
 
-def _minimise(row, col, y, prow, pcol, psign, width: int, penalty: float, steps: int = 800) -> np.ndarray:
+def _minimise(row, col, y, prow, pcol, psign, width: int, penalty: float, share=None, steps: int = 800) -> np.ndarray:
     """Weights and, last, the bias that minimise the mean logistic loss, `penalty` times the mean
-    squared change of score over the pairs, and `SPARSE` times the sum of absolute weights.
+    squared change of score over the pairs (weighed by `share`), and `SPARSE` times the sum of absolute weights.
 
     Accelerated proximal gradient. What the strong features explain leaves nothing to the words that
     merely stand beside them, in copies of one text for instance, and their weights become zero.
@@ -193,7 +203,7 @@ def _minimise(row, col, y, prow, pcol, psign, width: int, penalty: float, steps:
         g[-1] += gap.sum()
         return g + np.bincount(pcol, change[prow] * psign, width + 1)
 
-    scale = 2 * penalty / max(1, pairs)
+    scale = 2 * penalty * (np.full(pairs, 1 / max(1, pairs)) if share is None else share)
     v = np.full(width + 1, 1.0)
     for _ in range(30):  # the largest curvature, by power iteration
         v /= np.linalg.norm(v)

@@ -257,3 +257,49 @@ def test_toxic_labels_alone_reject_nothing(labelled, spark):
     model = toxicity.fit(docs, labels.filter("toxic = 1"))
     assert {r["score"] for r in toxicity.classify(docs, model).collect()} == {0.0}
     assert toxicity.without_toxic(docs, model).count() == docs.count()
+
+
+def test_training_rows_are_bounded(spark):
+    many = next(k for k in range(3, 60) if zlib.crc32(str(k).encode()) % 3 != 1)
+    docs = spark.createDataFrame([(many, f"text {k}", None) for k in range(5001)] + [(k, "other", None) for k in range(60) if k != many], "doc_id long, text string, toxic string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(many, 0), (many, 1), (many, 1)], "doc_id long, toxic int")
+    for most in (1, 7, 1000):
+        rows = toxicity.training_rows(docs, labels, most).collect()
+        assert len(rows) <= most
+    assert len(rows) == sum(zlib.crc32(str(k).encode()) % 3 != 1 for k in range(60)) and ("text" in {r["text"][:4] for r in rows})
+
+
+def test_the_fit_is_the_minimum():
+    """A small problem against plain proximal gradient steps on dense matrices."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = (rng.random((80, 6)) < 0.4).astype(float)
+    y = ((x[:, 0] + x[:, 1] + 0.3 * rng.normal(size=80)) > 0.9).astype(float)
+    change = np.array([[1.0, -1, 0, 0, 0, 0], [0, 1, 0, 0, -1, 0]])
+    share = np.array([0.75, 0.25])
+    row, col = np.nonzero(x)
+    prow, pcol = np.nonzero(change)
+    found = toxicity._minimise(row, col, y, prow, pcol, change[prow, pcol], 6, 0.2, share, 4000)
+    w = np.zeros(7)
+    ones = np.column_stack([x, np.ones(80)])
+    for _ in range(60_000):
+        chance = 1 / (1 + np.exp(-ones @ w))
+        g = ones.T @ (chance - y) / 80
+        g[:6] += 2 * 0.2 * change.T @ (share * (change @ w[:6]))
+        w -= 0.5 * g
+        w[:6] = np.sign(w[:6]) * np.maximum(0, np.abs(w[:6]) - 0.5 * toxicity.SPARSE)
+    assert np.allclose(found, w, atol=2e-3)
+
+
+def test_held_out_documents_of_the_tables(spark):
+    from pathlib import Path
+
+    folder = Path("/root/testdata/sf0.1")
+    if not folder.exists():
+        pytest.skip("no test tables")
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    scored = toxicity.classify(docs, toxicity.fit(docs, labels)).filter("held_out").join(labels.select("doc_id", "toxic"), "doc_id")
+    counts = {(r["toxic"], r["predicted"]): r["count"] for r in scored.groupBy("toxic", "predicted").count().collect()}
+    assert counts[1, 1] >= 0.9 * (counts[1, 1] + counts[1, 0])
+    assert counts.get((0, 1), 0) < 0.01 * (counts[0, 0] + counts.get((0, 1), 0))
