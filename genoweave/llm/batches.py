@@ -12,7 +12,6 @@ the copies of one text.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from genoweave.llm.common import keep_in, partitions
-from genoweave.session import scratch_path
+from genoweave.session import scratch_path, scratch_table
 
 #: Bytes of text at which a batch is closed; a longer document is a batch of its own.
 BATCH_BYTES = 6 << 20
@@ -118,7 +117,7 @@ def write_batches(docs: DataFrame) -> tuple[DataFrame, int]:
         if texts:
             yield close()
 
-    name = f"batches_{uuid.uuid4().hex}"
+    name = scratch_table(spark, "batches")  # `remove_written` drops it
     packed = rows.mapInArrow(pack, "batch long, doc_ids binary, sizes binary, text binary, rest binary")
     # The planner joins a bucketed table as it lies only if it has as many buckets as a shuffle has partitions.
     writer = packed.write.bucketBy(partitions(spark), "batch").option("path", scratch_path(spark, name))

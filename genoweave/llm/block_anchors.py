@@ -13,7 +13,7 @@ candidates.
 
 Null texts count as empty and hold no words. Texts shorter than a window keep all words. Rows that
 repeat a `doc_id` never remove each other's words (no smaller id), but both lose what a smaller id has. A null
-`doc_id` counts as larger than all others. A null `doc_id` counts as larger than all others. An empty table gives no rows. Columns beside `text` are handed
+`doc_id` counts as larger than all others. A very long text is a batch of its own. An empty table gives no rows. Columns beside `text` are handed
 through, unless an added column has the name.
 """
 

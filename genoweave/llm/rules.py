@@ -4,7 +4,7 @@
 one boolean column, and `measure` makes the measures; no user function, no shuffle, every text whole.
 
 A null text counts as empty. No words: every ratio with a zero divisor is 0, and the base rule (at
-least ten words) rejects the row. Repeated rows are judged each. An empty table gives no rows.
+least ten words) rejects the row. Very long texts are judged whole. Repeated rows are judged each. An empty table gives no rows.
 Columns of `docs` that are not named below are handed through where the caller asks for them.
 
 The rules are for English, German, French and Spanish. Texts of 50 words or more in other languages mostly lack

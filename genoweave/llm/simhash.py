@@ -16,7 +16,8 @@ Shards yield spanning edges, never all pairs. Equal fingerprints are one row thr
 
 Null texts count as empty: fingerprint zero, linked like any other. Repeated rows share a
 fingerprint. Rows with a null `doc_id` tie nothing together; they get the component of their
-fingerprint, or null if no other row has it. An empty table gives no rows. Columns other than `doc_id` and `text` are not read.
+fingerprint, or null if no other row has it. Very long texts are read whole, one at a time. An empty table gives
+no rows. Columns other than `doc_id` and `text` are not read.
 """
 
 from __future__ import annotations
@@ -203,11 +204,5 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFra
     return marked.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose `doc_id` is the smallest of its component."""
-    kept = near_duplicates(docs, radius, width).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-
-
 def hexadecimal(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -143,13 +143,6 @@ def test_near_duplicates(docs, rows):
     assert Counter((r["doc_id"], r["fp"] & (2**64 - 1), r["component_id"]) for r in got) == expected
 
 
-def test_first_of_each_group_stays(docs):
-    kept = simhash.keep_first(docs)
-    assert kept.columns == docs.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert 16 in ids and 19 not in ids and None not in ids
-
-
 def test_no_fingerprints(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
