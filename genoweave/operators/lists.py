@@ -152,8 +152,16 @@ def rows_and_lists(
 
 
 def with_lists(rows: DataFrame, texts: DataFrame, key: str) -> DataFrame:
-    """Each row once per page of its group's list, with the page: rows times pages."""
-    return rows.join(texts, key)
+    """Each row once per page of its group's list, with the page: rows times pages.
+
+    `rows` have the number of `pages`, as `rows_and_lists` gives them. Rows of one text lie together, so a
+    columnar file holds the text once and not once per row; a merge keeps them so.
+    """
+    spread = rows.withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
+    others = [c for c in texts.columns if c not in (key, "page")]
+    # A count of partitions that is given stays as it is: the rows are few bytes, what is made of them is not.
+    spread = spread.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key, "page")
+    return spread.join(texts.hint("merge"), [key, "page"]).select(*rows.columns, "page", *others)
 
 
 def distinct_concat(

@@ -109,6 +109,20 @@ def test_no_page_of_a_list_is_lost(spark):
     assert lists.with_lists(rows, texts, "gene").count() == 3 * 260
 
 
+def test_rows_of_one_list_lie_together(spark, tmp_path):
+    df = spark.range(3000).select(F.col("id").alias("at"), F.col("id").cast("string").alias("v"), (F.col("id") % 150).cast("string").alias("gene"))
+    df = df.withColumn("v", F.concat("v", F.lit("_" * 500))).orderBy("at")
+    rows, texts = lists.rows_and_lists(df, "gene", "v", ["at"], "ids", page_items=10)
+    joined = lists.with_lists(rows, texts, "gene")
+    assert joined.columns == ["gene", "at", "v", "pages", "page", "ids"]
+    joined.write.parquet(str(tmp_path / "joined"))
+    written = spark.read.parquet(str(tmp_path / "joined"))
+    assert written.count() == 2 * 3000
+    part = written.withColumn("file", F.input_file_name()).withColumn("at_file", F.monotonically_increasing_id())
+    runs = part.selectExpr("file", "ids", "lag(ids) over (partition by file order by at_file) as before").filter("ids is distinct from before")
+    assert runs.count() == 150 * 2
+
+
 def test_distinct_concat_of_every_column(frame):
     df = frame(SCHEMA, *SMALL).drop("at")
     rows = {r.gene_name: (r.id, r.szpabr0002) for r in lists.distinct_concat(df, "gene_name").collect()}
