@@ -34,7 +34,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays, that of the smallest id (five-word shingles, Jaccard 0.8 or more)."""
+    """One row of each group of near copies stays, that of the smallest id (five-word shingles, Jaccard 0.8 or more).
+
+    op7's fingerprints and vantage-point search give candidates, MinHash those that differ in more bits; both are checked exactly."""
     return near_copies.keep_one(docs.select(*COLUMNS))
 
 

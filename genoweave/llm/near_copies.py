@@ -1,9 +1,11 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Words are cut and lower-cased as in `simhash`; a text of fewer than five words is one shingle.
-Candidates come from MinHash: `BANDS` bands of `ROWS` least hashes each, so a pair of similarity 0.8
+Candidates come from two searches. One is op7's: SimHash fingerprints, here of five-word shingles, whose links at `RADIUS` bits
+or fewer are found by `simhash.links` through vantage-point trees. Those reach some 3 % of the pairs at a similarity of 0.8, so the
+other search is MinHash: `BANDS` bands of `ROWS` least hashes each, so a pair of similarity 0.8
 shares a band but for 5 in 100,000, a pair of 0.9 but for 1 in a thousand million. Candidates are then compared by
-their whole shingle sets (64-bit hashes), so nothing below the similarity is linked.
+their whole shingle sets (64-bit hashes), so nothing below the similarity is linked, whichever search found it.
 
 In a bucket of up to `FEW` sets all pairs are compared. In a larger one all sets are compared with one first, the one
 with the least share of shingles that no other set of large buckets has. Sets that this leaves outside the bucket's largest
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genoweave.llm import simhash
 from genoweave.llm.batches import mix, windows, word_hashes, words
 from genoweave.llm.common import Scratch, keep_in, slices
 from genoweave.llm.components import components
@@ -35,6 +38,8 @@ from genoweave.llm.components import components
 WIDTH = 5
 BANDS, ROWS = 25, 5
 FEW = 16
+#: Bits in which fingerprints of candidates may differ.
+RADIUS = 4
 
 _XOR = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 _TIMES = mix(_XOR) | np.uint64(1)
@@ -78,12 +83,14 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def mark(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `row` (its hash), `point` (of its shingle set), `n` and `keys` of every row."""
+    """`doc_id`, `row` (its hash), `point` (of its shingle set), `n`, `keys` and `fp` (its fingerprint) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                sets = shingles(part.column("text").to_pylist())
+                texts = part.column("text").to_pylist()
+                sets = shingles(texts)
+                prints = np.array([simhash.fingerprint(x, WIDTH) for x in texts], np.uint64)
                 points = [int(mix(np.bitwise_xor.reduce(mix(x)) + np.uint64(len(x)))) if len(x) else 0 for x in sets]
                 keys = [bands(x) if len(x) else np.zeros(0, np.int64) for x in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -93,11 +100,12 @@ def mark(docs: DataFrame) -> DataFrame:
                         pa.array(np.array(points, np.uint64).view(np.int64)),
                         pa.array([len(x) for x in sets], pa.int32()),
                         pa.array(keys, pa.list_(pa.int64())),
+                        pa.array(prints.view(np.int64)),
                     ],
-                    ["doc_id", "row", "point", "n", "keys"],
+                    ["doc_id", "row", "point", "n", "keys", "fp"],
                 )
 
-    return _rows(docs).mapInArrow(run, "doc_id long, row long, point long, n int, keys array<long>")
+    return _rows(docs).mapInArrow(run, "doc_id long, row long, point long, n int, keys array<long>, fp long")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -122,6 +130,15 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.filter(9 * F.size(F.array_intersect("su", "sv")) >= 4 * F.col("both")).select("u", "v")
 
 
+def fingerprint_pairs(marked: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs `u`, `v` of points that op7's search ties: spanning links of fingerprints, and points of one fingerprint."""
+    prints = scratch.keep(marked.filter("n > 0").select("fp", "point").distinct(), "prints")
+    least = scratch.keep(prints.groupBy("fp").agg(F.min("point").alias("rep")), "print-points")
+    equal = prints.join(least, "fp").select(F.col("point").alias("u"), F.col("rep").alias("v"))
+    pairs = simhash.links(least, RADIUS).select("u", "v").unionByName(equal)
+    return scratch.keep(pairs.filter("u != v").distinct(), "print-pairs")
+
+
 def groups(docs: DataFrame, marked: DataFrame) -> DataFrame:
     """`node` and `component` of the points of `marked` that have a near copy."""
     scratch = Scratch(docs.sparkSession)
@@ -130,10 +147,14 @@ def groups(docs: DataFrame, marked: DataFrame) -> DataFrame:
     keyed = points.select("point", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     keyed = scratch.keep(keyed.join(shared, "key").join(points.select("point", "n", "row"), "point"), "buckets")
-    wanted = keyed.select("point", "row").distinct()
+    tied = fingerprint_pairs(marked, scratch)
+    near = tied.select(F.explode(F.array("u", "v")).alias("point")).distinct().join(points, "point")
+    wanted = keyed.select("point", "row").unionByName(near.select("point", "row")).distinct()
     texts = _rows(docs).select("row", "text").join(wanted, "row").dropDuplicates(["point"])
     sets = scratch.keep(_sets(texts), "shingles")
 
+    known = points.select("point", "n")
+    tied = tied.join(known.toDF("u", "nu"), "u").join(known.toDF("v", "nv"), "v").select("u", "nu", "v", "nv")
     few = keyed.filter(F.col("size") <= FEW).select("key", "point", "n")
     pairs = few.toDF("key", "u", "nu").join(few.toDF("key", "v", "nv"), "key").filter("u < v")
     large = keyed.filter(F.col("size") > FEW)
@@ -143,7 +164,8 @@ def groups(docs: DataFrame, marked: DataFrame) -> DataFrame:
     least = F.min(F.struct((F.col("own") / F.col("n")).alias("share"), F.xxhash64("point").alias("any"), "point", "n"))
     leads = large.groupBy("key").agg(least.alias("lead")).select("key", F.col("lead.point").alias("v"), F.col("lead.n").alias("nv"))
     members = large.select("key", F.col("point").alias("u"), F.col("n").alias("nu"))
-    edges = scratch.keep(_similar(pairs.unionByName(members.join(leads, "key")).drop("key"), sets), "similar")
+    pairs = pairs.unionByName(members.join(leads, "key")).drop("key").unionByName(tied)
+    edges = scratch.keep(_similar(pairs, sets), "similar")
     tied = scratch.keep(components(edges), "tied")
     more = _similar(possible_pairs(large, tied, sets, scratch), sets)
     tied = keep_in(components(edges.unionByName(more)), "tied")

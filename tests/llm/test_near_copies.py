@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from genoweave.llm import near_copies
@@ -122,3 +123,20 @@ def test_null_ids_and_repeated_rows(spark):
     got = corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()
     assert sorted((r["doc_id"] or 0, r["text"].lower()) for r in got) == [(0, "alone"), (0, "no id"), (7, "twice here"), (8, long)]
     assert all(tuple(r) in rows for r in got)
+
+
+def test_the_stage_takes_the_links_of_fingerprints(spark, texts):
+    """Without a shared MinHash band what op7's search ties is still found, and checked by whole sets."""
+    base = [f"solo{k}" for k in range(60)]
+    texts = {**texts, 3000: " ".join(base), 3001: " ".join([*base[:-1], "other"]), 3002: " ".join(base * 3), 3003: " ".join(base * 3 + base[:9])}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], SCHEMA).repartition(4)
+    marked = near_copies.mark(docs)
+    point = {r["doc_id"]: r["point"] for r in marked.select("doc_id", "point").collect()}
+    alone = marked.withColumn("keys", F.array(F.col("point"))).localCheckpoint()
+    found = {r["node"]: r["component"] for r in near_copies.groups(docs, alone).collect()}
+    assert point[3002] in found and found[point[3002]] == found[point[3003]]
+    sets = {point[i]: shingle_set(t) for i, t in texts.items()}
+    groups = {}
+    for node, component in found.items():
+        groups.setdefault(component, []).append(node)
+    assert all(any(similarity(sets[a], sets[b]) >= 0.8 for b in group if b != a) for group in groups.values() for a in group)
