@@ -61,9 +61,13 @@ def typed_info(sites: DataFrame, fields: list[InfoField], info: str = "info") ->
     Of a field that a record has twice the last one counts."""
     text = F.when(F.col(info) == MISSING, "").otherwise(F.coalesce(F.col(info), F.lit("")))
     entries = F.filter(F.split(text, ";"), lambda e: e != "")
-    pair = F.transform(entries, lambda e: F.struct(F.substring_index(e, "=", 1).alias("key"), F.when(e.contains("="), F.substring(e, F.instr(e, "=") + 1, F.length(e))).alias("value")))
+    pairs = F.transform(entries, lambda e: F.struct(F.substring_index(e, "=", 1).alias("key"), F.when(e.contains("="), F.substring(e, F.instr(e, "=") + 1, F.length(e))).alias("value")))
+    # A column of its own: inside a lambda it would be worked out again for every entry.
+    rows = sites.withColumn("_pairs", pairs)
+    pair, keys = F.col("_pairs"), F.col("_pairs.key")
     last = F.filter(pair, lambda p, k: ~F.exists(F.slice(pair, k + 2, F.size(pair)), lambda q: q["key"] == p["key"]))
-    rows = sites.withColumn("_map", F.map_from_entries(last))
+    last = F.when(F.size(F.array_distinct(keys)) == F.size(keys), pair).otherwise(last)
+    rows = rows.withColumn("_map", F.map_from_entries(last)).drop("_pairs")
 
     def one(field: InfoField) -> Column:
         if field.flag:
@@ -116,8 +120,9 @@ def per_allele(typed: DataFrame, fields: list[InfoField], info: str = "info", al
     of the genotypes of these two (for two haplotypes). Other fields stay as they are. With `calls`, an array of calls,
     allele numbers are rewritten: 0 stays, the allele becomes 1, another one a dot.
     """
-    listed = _alternatives(alt)
-    rows = typed.withColumns({"_n": F.size(listed), "_alt": F.when(F.size(listed) > 0, listed).otherwise(F.array(F.lit(None).cast("string")))})
+    listed = F.col("_listed")
+    rows = typed.withColumn("_listed", _alternatives(alt))
+    rows = rows.withColumns({"_n": F.size(listed), "_alt": F.when(F.size(listed) > 0, listed).otherwise(F.array(F.lit(None).cast("string")))})
     others = [c for c in typed.columns if c != alt]
     rows = rows.select(*others, "_n", F.posexplode("_alt").alias("_at", alt))
     rows = rows.withColumn("allele", F.when(F.col("_n") > 0, F.col("_at") + 1).otherwise(0))

@@ -165,3 +165,19 @@ def test_a_failed_update_changes_nothing(spark, tmp_path, change, same):
     with pytest.raises(Exception, match="more than one row"):
         update_folders(spark, path, twice, ["key"], "text", "chrom")
     assert files(path) == before
+
+
+def test_info_entries_are_cut_once(spark):
+    """Not again for every entry: the name of an entry is cut out at one place of the plan."""
+    fields = [vcf_info.InfoField("AC", "A", "bigint"), vcf_info.InfoField("NS", "1", "bigint")]
+    plan = vcf_info.typed_info(sites(spark, ("C", "AC=5;NS=3", [])), fields)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("substring_index") == 1
+
+
+def test_calls_of_short_and_long_allele_numbers(spark):
+    calls = ["0|2:35", "./.", "2", "", "10|2", "1/12", "2|", "0/1/2:a|2", "x|2"]
+    wanted = {0: ["0|.:35", "./.", ".", ".", ".|.", "./.", ".|.", "0/./.:a|2", ".|."], 2: ["0|1:35", "./.", "1", ".", ".|1", "./.", "1|.", "0/./1:a|2", ".|1"]}
+    wanted |= {10: ["0|.:35", "./.", ".", ".", "1|.", "./.", ".|.", "0/./.:a|2", ".|."], 12: ["0|.:35", "./.", ".", ".", ".|.", "./1", ".|.", "0/./.:a|2", ".|."]}
+    rows = spark.createDataFrame([(calls, k) for k in wanted], "calls array<string>, k int")
+    found = rows.select("k", F.transform("calls", lambda c: vcf_info.recoded_call(c, F.col("k"))).alias("calls"))
+    assert {r.k: r.calls for r in found.collect()} == wanted
