@@ -11,6 +11,8 @@ from genoweave.sources import call_blocks, vcf, vcf_info
 
 #: Compressed bytes of a task, small so that also a small table's file is read by several.
 SPLIT = 256 << 10
+#: Tasks beyond which ranges get longer instead, up to the reader's own length.
+TASKS = 96
 HEAD = ["##fileformat=VCFv4.2", "\t".join([*vcf.FIXED_COLUMNS, "HG001", "HG002"])]
 
 
@@ -25,12 +27,19 @@ def block_calls(x) -> str:
     return path
 
 
+def split(x, path: str) -> int:
+    """Compressed bytes of a task."""
+    place = x.spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = place.getFileSystem(x.spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    return min(max(SPLIT, size // TASKS), call_blocks.SPLIT)
+
+
 @query("scan_vcf_blocks", "calls", " union all ".join(
     "select cast(l_linenumber as varchar) as chrom, l_orderkey as pos, rsid as id, coalesce(ref,'.') as ref, "
     f"coalesce(alt,'.') as alt, '{p}' as patient, {c} as gt from calls" for p, c in SAMPLES))
 def _(x):
     path = block_calls(x)
-    sites = call_blocks.read_vcf_blocks(x.spark, path, split=SPLIT).select("chrom", "pos", "id", "ref", "alt", "calls")
+    sites = call_blocks.read_vcf_blocks(x.spark, path, split=split(x, path)).select("chrom", "pos", "id", "ref", "alt", "calls")
     return vcf.explode_calls(sites, call_blocks.block_samples(path))
 
 
@@ -39,7 +48,8 @@ def _(x):
        "where l_linenumber in (2,5) and l_orderkey between 400 and 2000")
 def _(x):
     """A lookup of two chromosomes and a range of positions."""
-    found = call_blocks.read_vcf_blocks(x.spark, block_calls(x), ["2", "5"], 400, 2000, ordered=True, split=SPLIT)
+    path = block_calls(x)
+    found = call_blocks.read_vcf_blocks(x.spark, path, ["2", "5"], 400, 2000, ordered=True, split=split(x, path))
     return found.select("chrom", "pos", "id")
 
 
@@ -68,7 +78,7 @@ def _(x):
     path = scratch_path(x.spark, "info")
     call_blocks.write_vcf_blocks(x.calls.selectExpr(fixed), path, [*INFO_HEAD, "\t".join([*vcf.FIXED_COLUMNS, "S1"])])
     fields = vcf_info.info_fields(x.spark, path)
-    sites = call_blocks.read_vcf_blocks(x.spark, path, split=SPLIT)
+    sites = call_blocks.read_vcf_blocks(x.spark, path, split=split(x, path))
     rows = vcf_info.per_allele(vcf_info.typed_info(sites, fields), fields, calls="calls")
     return rows.select("pos", "id", "alt", "allele", F.col("info.AC").alias("ac"), F.col("info.AD")[0].alias("ad_ref"), F.get("info.AD", F.lit(1)).alias("ad_alt"),
                        F.col("info.NS").alias("ns"), F.col("info.DB").alias("db"), F.col("info_other")["XX"].alias("other"), F.col("calls")[0].alias("call"))

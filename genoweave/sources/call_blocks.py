@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.datasource import (
-    DataSource, DataSourceReader, DataSourceWriter, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan,
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan,
     LessThanOrEqual, WriterCommitMessage,
 )
 from pyspark.sql.types import StructType
@@ -69,6 +69,26 @@ def pack_block(data: bytes) -> bytes:
     return head + body + struct.pack("<II", zlib.crc32(data), len(data))
 
 
+def joined_lines(lines: pa.Array) -> bytes:
+    """The lines, each with its line feed."""
+    if lines.null_count:
+        raise ValueError("a line is NULL")
+    if not len(lines):
+        return b""
+    whole = pa.ListArray.from_arrays([0, len(lines)], lines.cast(pa.string()))
+    return pc.binary_join(whole, "\n")[0].as_buffer().to_pybytes() + b"\n"
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about `most` bytes of one column; a longer line is a part of its own."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy()
+    begin = 0
+    while begin < len(ends):
+        end = max(begin + 1, int(ends.searchsorted((ends[begin - 1] if begin else 0) + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 class BlockFile:
     """One open file. `opened` counts the blocks that were unpacked."""
 
@@ -256,13 +276,11 @@ class CallBlockReader(DataSourceReader):
         self.opened += file.opened
 
     def _batch(self, text: bytes) -> pa.RecordBatch:
-        lines = []
-        for line in text.decode().split("\n"):
-            if line.startswith(COLUMN_LINE) and line.split("\t") != self.columns:
+        lines = pc.list_flatten(pc.split_pattern(pa.array([text.decode()], pa.string()), "\n"))
+        for line in lines.filter(pc.starts_with(lines, COLUMN_LINE)).to_pylist():
+            if line.split("\t") != self.columns:
                 raise ValueError("read files with different columns apart and union them")
-            if line and not line.startswith("#"):
-                lines.append(line)
-        lines = pa.array(lines, pa.string())
+        lines = lines.filter(pc.invert(pc.or_(pc.equal(lines, ""), pc.starts_with(lines, "#"))))
         tokens = pc.split_pattern(lines, "\t")
         fits = pc.equal(pc.list_value_length(tokens), len(self.columns))
         if self.rejects:
@@ -303,7 +321,7 @@ class Part(WriterCommitMessage):
     hidden: str
 
 
-class CallBlockWriter(DataSourceWriter):
+class CallBlockWriter(DataSourceArrowWriter):
     """Parts in partition order, each a file of its own with the head lines. Parts of failed or repeated
     attempts stay hidden; what counts is renamed when all are done."""
 
@@ -322,11 +340,13 @@ class CallBlockWriter(DataSourceWriter):
         hidden = f".{name}.{uuid.uuid4().hex}"
         rest = self.head.encode() + b"\n" if self.head else b""
         with files.open_output_stream(f"{folder}/{hidden}", compression=None) as out:
-            for row in iterator:
-                rest += row[0].encode() + b"\n"
-                while len(rest) >= FILLED:
-                    out.write(pack_block(rest[:FILLED]))
-                    rest = rest[FILLED:]
+            for batch in iterator:
+                for part in slices(batch, "value", BATCH):
+                    rest += joined_lines(part.column("value"))
+                    full = len(rest) // FILLED * FILLED
+                    for k in range(0, full, FILLED):
+                        out.write(pack_block(rest[k : k + FILLED]))
+                    rest = rest[full:]
             if rest:
                 out.write(pack_block(rest))
             out.write(LAST)

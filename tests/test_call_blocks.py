@@ -3,9 +3,10 @@
 import gzip
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan
+from pyspark.sql.datasource import DataSourceArrowWriter, EqualTo, GreaterThanOrEqual, In, LessThan
 
 from genoweave.sources import call_blocks as cb
 from genoweave.sources import vcf
@@ -168,3 +169,14 @@ def test_columns_that_are_missing(spark, tmp_path):
     row = cb.read_vcf_blocks(spark, path).first()
     assert (row.pos, row.info, row.format, row.calls) == (None, None, "GT", ["0/0"])
     assert cb.read_vcf_blocks(spark, block_file(tmp_path / "c.vcf.gz", head + "\n")).count() == 0
+
+
+def test_writers_take_batches_of_lines(tmp_path):
+    """Blocks do not depend on how the lines come; a line of several blocks is whole."""
+    assert issubclass(cb.CallBlockWriter, DataSourceArrowWriter)
+    lines = ["x" * k for k in (0, 5, 200_000, 7)]
+    assert cb.joined_lines(pa.array(lines)) == "".join(x + "\n" for x in lines).encode()
+    batch = pa.RecordBatch.from_arrays([pa.array(lines)], ["value"])
+    assert [x.num_rows for x in cb.slices(batch, "value", 100)] == [2, 1, 1]
+    with pytest.raises(ValueError):
+        cb.joined_lines(pa.array(["a", None]))
