@@ -9,10 +9,11 @@ from genoweave.plans.queries_drugs import gene_drugs, labels
 from genoweave.plans.queries_sites import TWO_TRANSCRIPTS, coded, transcripts
 from genoweave.plans.registry import query
 from genoweave.session import drop_later, scratch_path, scratch_table, written
-from genoweave.sources.clustered import Clustered, calls_of_sites, join_clustered, save_clustered
+from genoweave.sources.clustered import Clustered, bucket_count, calls_of_sites, join_clustered, save_clustered
 from genoweave.sources.tables import write_by_chromosome
 from genoweave.sources.updates import update_folders
 
+#: Buckets of small tables.
 BUCKETS = 8
 
 
@@ -20,7 +21,8 @@ def clustered(x, df, name: str, key: str, **options) -> Clustered:
     path = scratch_path(x.spark, "clustered")
     table = scratch_table(x.spark, name)
     drop_later(x.spark, f"{table}_rest")
-    return save_clustered(written(df), table, key, path, BUCKETS, **options)
+    buckets = bucket_count(x.calls, x.sites, least=BUCKETS)
+    return save_clustered(written(df), table, key, path, buckets, **options)
 
 
 def call_table(x) -> Clustered:

@@ -5,7 +5,7 @@ meet without moving again, and a lookup by key opens one bucket's files. It may
 chromosome, which static and dynamic filters prune, and Parquet Bloom filters, which leave out row groups in lookups
 by other columns.
 
-A bucket is one task's work. Keys with more rows than an even bucket would have, and rows without a key, are therefore
+A bucket is one task's work, so the number of buckets has to grow with the tables (`bucket_count`). Keys with more rows than an even bucket would have, and rows without a key, are therefore
 stored in a second, unbucketed table beside it; there are fewer such keys than buckets. Joins
 treat the two apart: the buckets meet as they lie, the heavy keys' rows meet in a join that can be split.
 """
@@ -52,6 +52,19 @@ class Clustered:
         return found.unionByName(self.rest.filter(F.col(self.key).isin(heavy))) if heavy else found
 
 
+#: Rows of a bucket, one task's work, beyond which there are more buckets instead.
+BUCKET_ROWS = 1_000_000
+
+
+def bucket_count(*tables: DataFrame, least: int = 1, most: int = 4096, rows: int = BUCKET_ROWS) -> int:
+    """`least`, doubled until the largest of `tables` has at most `rows` rows a bucket. For tables that are to lie together."""
+    largest = max(table.count() for table in tables)
+    buckets = least
+    while buckets * rows < largest and 2 * buckets <= most:
+        buckets *= 2
+    return buckets
+
+
 def heavy_keys(df: DataFrame, key: str, share: int) -> list:
     """Keys with more than one in `share` of all rows: fewer than `share` of them reach the driver."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"))

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from genoweave.plans import inputs, queries_clustered
 from genoweave.session import drop_later, remove_written, scratch_path, scratch_table
-from genoweave.sources.clustered import calls_of_sites, heavy_keys, join_clustered, save_clustered
+from genoweave.sources.clustered import bucket_count, calls_of_sites, heavy_keys, join_clustered, save_clustered
 
 
 def nodes(plan):
@@ -131,3 +132,19 @@ def test_tables_go_with_the_written_files(spark):
     assert spark.catalog.tableExists(name)
     remove_written(spark)
     assert not spark.catalog.tableExists(name)
+
+
+def test_buckets_grow_with_the_largest_table(spark, monkeypatch):
+    few, many = spark.range(10), spark.range(1000)
+    assert bucket_count(few, least=8, rows=100) == 8
+    assert bucket_count(few, many, least=8, rows=100) == 16
+    assert bucket_count(many, least=1, rows=10) == 128
+    assert bucket_count(many, least=1, most=32, rows=10) == 32
+    monkeypatch.setattr(queries_clustered, "bucket_count", lambda *tables, least: bucket_count(*tables, least=least, rows=500))
+    x = inputs.Inputs(spark, "")
+    x.__dict__.update(calls=calls(spark), sites=sites(spark))
+    table = queries_clustered.clustered(x, calls(spark), "calls", "rsid")
+    rows = table.even.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert table.buckets == 8 and rows <= 1000
+    x.__dict__["calls"] = calls(spark, 40_000)
+    assert queries_clustered.clustered(x, calls(spark, 40_000), "calls", "rsid").buckets == 128
