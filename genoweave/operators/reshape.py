@@ -154,17 +154,25 @@ def matrix_lines(strings: DataFrame, features: DataFrame, patients: DataFrame) -
     filled = pieces.groupBy("patient", "slice").agg(
         ordered_concat("piece", "", ["place"]).alias("cells"), F.max("place").alias("last")
     )
-    rows = patients.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last))))
-    rest = F.repeat(F.lit(","), F.col("width") - 1 - F.coalesce("last", F.lit(0)))
-    line = F.concat(
-        F.lit("'"), F.col("patient"), F.lit("','"), F.coalesce("diagnosis", F.lit("")), F.lit("',"),
-        F.coalesce("cells", F.lit("")), rest,
-    )
-    return (
-        rows.join(widths, "slice")
-        .join(filled, ["patient", "slice"], "left")
-        .select("patient", "slice", line.alias("line"))
-    )
+    start = F.concat(F.lit("'"), F.col("patient"), F.lit("','"), F.coalesce("diagnosis", F.lit("")), F.lit("',"))
+    people = patients.select("patient", start.alias("start"))
+    # One row per slice, so that the lines themselves stay where they are.
+    widths = F.broadcast(widths)
+
+    def lines(rows: DataFrame, cells: Column, last: Column) -> DataFrame:
+        rest = F.repeat(F.lit(","), F.col("width") - 1 - last)
+        line = F.concat("start", cells, rest)
+        return rows.join(widths, "slice").select("patient", "slice", line.alias("line"))
+
+    filled = written(filled)
+    full = lines(people.join(filled, "patient"), F.col("cells"), F.col("last"))
+    # Patients are few beside their lines, which are most of the work: they are dealt by number, not by size.
+    taken = filled.groupBy("patient").agg(F.collect_list("slice").alias("taken"))
+    count = int(patients.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = people.join(taken, "patient", "left").repartition(count)
+    slices = F.array_except(F.sequence(F.lit(0).cast("long"), F.lit(last)), F.coalesce("taken", F.array().cast("array<bigint>")))
+    empty = lines(rest.select("patient", "start", F.explode(slices).alias("slice")), F.lit(""), F.lit(0))
+    return full.unionByName(empty)
 
 
 def to_wide(strings: DataFrame, labels: list[str]) -> DataFrame:

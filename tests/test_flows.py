@@ -1,3 +1,5 @@
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from genoweave.operators import drugs as dg
@@ -85,6 +87,24 @@ def test_matrix_gaps(frame):
     assert rows == {"p": "'p','1',,,'+A',,,'-B',", "q": "'q','2','+C',,,,,,'+D'", "r": "'r','1',,,,,,,"}
 
 
+def test_matrix_lines_are_spread(frame):
+    """Lines without a cell are most of a paged matrix; no task makes them all, and none is lost or made twice."""
+    labels = frame("gene_name string, page long, label string", *[(f"G{k:03}", 0, f"'G{k:03}'") for k in range(95)])
+    cells = {(f"p{k}", f"G{(k * 7 + j) % 95:03}"): f"+{j}" for k in range(30) for j in range(k % 4)}
+    strings = frame("patient string, gene_name string, page long, peptide_string string", *[(p, g, 0, c) for (p, g), c in cells.items()])
+    patients = [(f"p{k}", "1" if k % 5 else None) for k in range(30)] + [("p3", "2"), (None, "1")]
+    lines = flows.ml_matrix(strings, labels, frame("patient string, diagnosis string", *patients), 10)[1]
+
+    def line(patient, diagnosis, k):
+        names = [f"G{j:03}" for j in range(10 * k, min(10 * k + 10, 95))]
+        found = ",".join(f"'{cells[patient, g]}'" if (patient, g) in cells else "" for g in names)
+        return None if patient is None else f"'{patient}','{diagnosis or ''}',{found}"
+
+    wanted = Counter((p, k, line(p, d, k)) for p, d in patients for k in range(10))
+    assert Counter((r.patient, r.slice, r.line) for r in lines.collect()) == wanted
+    assert lines.select(F.spark_partition_id().alias("task")).distinct().count() > 4
+
+
 def test_wide_matrix(frame):
     strings = frame("patient string, label string, peptide_string string", ("a", "g1", "+A"), ("a", "g2", "-B"), ("b", "g2", "+C"))
     rows = {r.patient: (r.g1, r.g2) for r in reshape.to_wide(strings, ["g1", "g2"]).collect()}
