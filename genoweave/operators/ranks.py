@@ -21,6 +21,9 @@ def string_counts(strings: DataFrame) -> DataFrame:
 
 
 def string_totals(counts: DataFrame) -> DataFrame:
+    """How many rows have each peptide string; of `string_counts`, or of strings with their `rows`."""
+    if "rows" in counts.columns:
+        counts = counts.filter(F.col("pepstr").isNotNull()).withColumnRenamed("rows", "count")
     return counts.groupBy("pepstr").agg(F.sum("count").alias("strsum"))
 
 

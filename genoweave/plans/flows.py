@@ -179,4 +179,4 @@ def with_gene_strings(rows: DataFrame, strings: DataFrame) -> DataFrame:
 
 def peptide_rank(strings: DataFrame) -> DataFrame:
     """(str_rank, pepstr, strsum) over all patients and chromosomes."""
-    return ranks.string_ranks(ranks.string_totals(ranks.string_counts(strings)))
+    return ranks.string_ranks(ranks.string_totals(strings if "rows" in strings.columns else ranks.string_counts(strings)))

@@ -194,7 +194,7 @@ def _(x):
 
 @query("pepstr_totals", "pop_totals", "select pepstr, strsum from pop_totals")
 def _(x):
-    return ranks.string_totals(ranks.string_counts(pop_strings(x)))
+    return ranks.string_totals(pop_strings(x))
 
 
 @query("pepstr_rank", "pop_ranks", "select str_rank, pepstr, strsum from pop_ranks")

@@ -216,3 +216,12 @@ def test_long_drug_texts_go_on_in_labels_of_their_own(frame):
     drugs = frame("gene_name string, drugs_page long, gene_drugs string", ("G", 0, "A{x}"), ("G", 1, "B{y}"), ("H", 0, "C{z}"))
     labels = {r.page: r.label for r in flows.feature_labels_with_drugs(rsids, drugs).collect()}
     assert labels == {0: "'G | rs1 | A{x}'", 1: "'G | B{y}'"}
+
+
+def test_totals_of_strings_without_a_count_per_patient(frame):
+    """The same as over patients and chromosomes, from the strings themselves."""
+    rows = [("p", "1", "AR", 2), ("p", "2", "AR", 3), ("q", "1", "AR", 1), ("q", "1", None, 9), (None, "1", "K", 4), ("p", "1", "AR", 2)]
+    strings = frame("patient string, chrom string, pepstr string, rows long", *rows)
+    direct = ranks.string_totals(strings)
+    assert {(r.pepstr, r.strsum) for r in direct.collect()} == {("AR", 8), ("K", 4)}
+    assert sorted(direct.collect()) == sorted(ranks.string_totals(ranks.string_counts(strings)).collect())
