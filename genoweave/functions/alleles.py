@@ -69,16 +69,34 @@ def genotype_peptides(genotype: Column, letters: Column, peptides: Column) -> Co
     )
 
 
+def allele_numbers(genotype: Column) -> Column:
+    """'0|1:35' to its allele numbers as texts; further fields after ':' are ignored."""
+    call = F.replace(F.substring_index(genotype, ":", 1), F.lit("/"), F.lit("|"))
+    return F.split(call, r"\|")
+
+
+def numbered_peptides(numbers: Column, names: Column) -> Column:
+    """The unsigned peptides that allele numbers name, of the peptides as an array."""
+
+    def name(n: int) -> Column:
+        # A missing allele is no number; left to the cast, each would cost an exception.
+        number = F.nullif(F.try_element_at(numbers, F.lit(n)), F.lit(".")).try_cast("int")
+        return F.nullif(F.try_element_at(names, number + 1), F.lit(""))
+
+    return F.when(F.size(numbers) == 1, name(1)).otherwise(F.concat(name(1), name(2)))
+
+
 def index_peptides(genotype: Column, peptides: Column) -> Column:
     """'0|1' to the unsigned peptides those allele numbers name; NULL for './.'.
 
     Further fields after ':' are ignored. A call of one allele gives its one peptide.
     """
-    numbers = F.split(F.split(genotype, ":")[0], "[|/]")
-    names = F.split(peptides, ",")
+    return numbered_peptides(allele_numbers(genotype), F.split(peptides, ","))
 
-    def name(n: int) -> Column:
-        number = F.try_element_at(numbers, F.lit(n)).try_cast("int")
-        return F.nullif(F.try_element_at(names, number + 1), F.lit(""))
 
-    return F.when(F.size(numbers) == 1, name(1)).otherwise(F.concat(name(1), name(2)))
+def with_index_peptides(rows: DataFrame, genotype: str, peptides: str, name: str) -> DataFrame:
+    """Adds `index_peptides`. The arrays are columns first: as parts of one expression each would
+    be split again wherever it is used."""
+    arrays = {"_numbers": allele_numbers(F.col(genotype)), "_names": F.split(peptides, ",")}
+    pair = numbered_peptides(F.col("_numbers"), F.col("_names"))
+    return rows.withColumns(arrays).withColumn(name, pair).drop(*arrays)

@@ -9,8 +9,8 @@ from genoweave.functions.alleles import (
     code_letters,
     code_peptides,
     genotype_peptides,
-    index_peptides,
     with_allele_slots,
+    with_index_peptides,
     with_opposite_slots,
 )
 from genoweave.functions.text import gene_label, quoted, strip_brackets, strip_commas
@@ -164,8 +164,7 @@ def pair_strings(rows: DataFrame) -> DataFrame:
     `rows` counts the calls behind a string; calls without a peptide count as well.
     """
     keys = ["patient", "chrom", "gene_name", "page"]
-    pair = index_peptides(F.col("gt_idx"), F.col("peptides")).alias("pair")
-    values = rows.select(*keys, "rsid", pair)
+    values = with_index_peptides(rows, "gt_idx", "peptides", "pair").select(*keys, "rsid", "pair")
     groups = values.groupBy(*keys).agg(
         lists.entry_set("rsid", "pair").alias("entries"), F.count("*").alias("rows")
     )

@@ -288,7 +288,8 @@ SUBQUERIES.update({
 def _(x):
     """Site rows of a call file are joined with the decoding before their calls are exploded."""
     path = vcf_file(x)
-    sites = vcf.read_vcf_sites(x.spark, path).select(F.col("id").alias("rsid"), "calls")
+    columns = vcf.vcf_columns(x.spark, path)
+    sites = vcf.read_vcf_sites(x.spark, path, columns).select(F.col("id").alias("rsid"), "calls")
     rows = sites.join(pop_codes(x).select("chrom", "gene_name", "page", "rsid", "peptides"), "rsid")
-    samples = vcf.sample_names(vcf.vcf_columns(x.spark, path))
-    return flows.pair_strings(vcf.explode_calls(rows, samples).withColumnRenamed("gt", "gt_idx"))
+    calls = vcf.explode_calls(rows, vcf.sample_names(columns))
+    return flows.pair_strings(calls.withColumnRenamed("gt", "gt_idx"))

@@ -273,8 +273,8 @@ def _(x):
 @query("decode_vcf_index", "pairs", "select patient, rsid, l_orderkey, l_linenumber, pair from pairs")
 def _(x):
     rows = x.calls.join(x.sites.select("rsid", "peptides"), "rsid")
-    pair = al.index_peptides(F.col("gt_idx"), F.col("peptides")).alias("pair")
-    return rows.select("patient", "rsid", "l_orderkey", "l_linenumber", pair)
+    named = al.with_index_peptides(rows, "gt_idx", "peptides", "pair")
+    return named.select("patient", "rsid", "l_orderkey", "l_linenumber", "pair")
 
 
 @query("sort_sites", "coded",

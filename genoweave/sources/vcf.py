@@ -21,12 +21,14 @@ def vcf_columns(spark: SparkSession, path: str) -> list[str]:
 
 def _data_lines(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Data lines as fields. Every file has to have the same columns; that is checked while
-    the lines are read, without a pass of its own."""
+    the lines are read, without a pass of its own. A line is cut once: filters on its fields stay
+    above the `explode_outer`, while below a projection each of them would cut it again."""
     value = F.col("value")
     other = value.startswith(COLUMN_LINE) & (value != "\t".join(columns))
     wrong = F.raise_error(F.lit("read files with different columns apart and union them"))
     data = F.when(other, wrong.cast("boolean")).otherwise(~value.startswith("#"))
-    return spark.read.text(path).filter(data).select("value", F.split("value", "\t", -1).alias("tokens"))
+    cut = F.array(F.split("value", "\t", -1))
+    return spark.read.text(path).filter(data).select("value", F.explode_outer(cut).alias("tokens"))
 
 
 def _fixed(columns: list[str]) -> list[str]:
@@ -41,14 +43,15 @@ def sample_names(columns: list[str]) -> list[str]:
     return [name.lower() for name in columns[len(_fixed(columns)) :]]
 
 
-def read_vcf_sites(spark: SparkSession, path: str) -> DataFrame:
+def read_vcf_sites(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """One row per site: the fixed columns and all calls as one array, in sample order.
 
     Files without an INFO column are read as well. Lines with a wrong number of fields are
     left out. Join sites with their annotation in this form, before `explode_calls`: the
-    join then moves one compact row per site and not one per call.
+    join then moves one compact row per site and not one per call. Pass the `columns` if
+    they are known: looking for them reads the files up to the column line.
     """
-    columns = vcf_columns(spark, path)
+    columns = columns or vcf_columns(spark, path)
     fixed = _fixed(columns)
     rows = _data_lines(spark, path, columns).filter(F.size("tokens") == len(columns))
     site = [F.col("tokens")[i].alias(_plain(c)) for i, c in enumerate(fixed)]
@@ -68,7 +71,8 @@ def explode_calls(sites: DataFrame, samples: list[str]) -> DataFrame:
 
 def read_vcf(spark: SparkSession, path: str) -> DataFrame:
     """One row per site and sample: the fixed columns, patient and gt."""
-    return explode_calls(read_vcf_sites(spark, path), sample_names(vcf_columns(spark, path)))
+    columns = vcf_columns(spark, path)
+    return explode_calls(read_vcf_sites(spark, path, columns), sample_names(columns))
 
 
 def rejected_vcf_lines(spark: SparkSession, path: str) -> DataFrame:

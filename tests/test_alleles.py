@@ -102,3 +102,12 @@ def test_allele_and_opposite_slots(frame):
 def test_allele_numbers(frame, gt, peptides, expected):
     df = frame("gt string, peptides string", (gt, peptides))
     assert df.select(al.index_peptides(F.col("gt"), F.col("peptides"))).first()[0] == expected
+
+
+def test_calls_are_split_once_however_often_their_parts_are_used(frame):
+    df = frame("gt string, peptides string", ("1|0", "R,H,"), ("./.", "R,H,"), (".|1", "R,H,"), (None, "R,H,"), ("0", None))
+    found = al.with_index_peptides(df, "gt", "peptides", "pair")
+    assert [r.pair for r in found.collect()] == ["HR", None, None, None, None]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 2
+    assert found.columns == ["gt", "peptides", "pair"]

@@ -187,6 +187,16 @@ def test_sites_are_annotated_before_their_calls_are_exploded(spark, text_file, f
         (g, p, c) for g in ("G1", "G2") for p, c in (("hg00096", "0|0"), ("hg00097", "1|0"))}
 
 
+def test_lines_of_a_call_file_are_cut_once(spark, text_file, frame):
+    path = text_file("pop.vcf", *VCF)
+    columns = vcf.vcf_columns(spark, path)
+    genes = frame("id string, gene_name string", ("rs559462325", "G1"))
+    sites = vcf.read_vcf_sites(spark, path, columns).select("id", "calls").join(genes, "id")
+    long = vcf.explode_calls(sites, vcf.sample_names(columns))
+    assert long._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert {(r.patient, r.gt) for r in long.collect()} == {("hg00096", "0|0"), ("hg00097", "1|0")}
+
+
 def test_csv_with_lists(spark, frame, tmp_path):
     path = str(tmp_path / "out.csv")
     delimited.write_csv(frame("gene string, ids array<string>", ("LRRD1", ["rs1", "rs1"]), ("LRRD3", ["rs2"])), path)
