@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.functions.alleles import (
@@ -176,6 +176,20 @@ def with_gene_strings(rows: DataFrame, strings: DataFrame) -> DataFrame:
     return rows.join(strings, ["patient", "chrom", "gene_name", "page"])
 
 
+def rows_with_strings(rows: DataFrame) -> DataFrame:
+    """`rows` as `pair_strings` takes them, each with its string: the same as `with_gene_strings` of
+    both. The rows are shuffled and sorted once; nothing is aggregated beside them and joined back.
+    """
+    keys = ["patient", "chrom", "gene_name", "page"]
+    group = Window.partitionBy(*keys)
+    named = with_index_peptides(rows.dropna(subset=keys), "gt_idx", "peptides", "_pair")
+    before = {c: F.lag(c).over(group.orderBy("rsid", "_pair")) for c in ("rsid", "_pair")}
+    again = F.col("rsid").eqNullSafe(before["rsid"]) & F.col("_pair").eqNullSafe(before["_pair"])
+    first = named.withColumn("_first", F.when(~again, F.col("_pair")))
+    text = lists.ordered_concat("_first", "", ["rsid", "_first"]).over(group)
+    return first.withColumn("pepstr", F.nullif(text, F.lit(""))).select(*rows.columns, "pepstr")
+
+
 def peptide_rank(strings: DataFrame) -> DataFrame:
     """(str_rank, pepstr, strsum) over all patients and chromosomes."""
     return ranks.string_ranks(ranks.string_totals(strings if "rows" in strings.columns else ranks.string_counts(strings)))

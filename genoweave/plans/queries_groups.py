@@ -183,8 +183,7 @@ def _(x):
 def _(x):
     keys = ["patient", "chrom", "gene_name", "page", "rsid", "l_orderkey", "l_linenumber"]
     joined = x.calls.join(pop_codes(x), "rsid").select(*keys, "gt_idx", "peptides")
-    joined = written(joined)
-    return flows.with_gene_strings(joined.select(*keys), flows.pair_strings(joined)).select(*keys, "pepstr")
+    return flows.rows_with_strings(joined).select(*keys, "pepstr")
 
 
 @query("pepstr_counts", "pop_counts", "select patient, chrom, pepstr, count from pop_counts")

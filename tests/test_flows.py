@@ -161,6 +161,24 @@ def test_population_strings(frame):
     assert attached.first().pepstr == "SSSSSSSS"
 
 
+def test_strings_on_rows_take_one_shuffle(frame):
+    rows = frame(
+        "patient string, chrom string, gene_name string, page long, rsid string, gt_idx string, peptides string, n int",
+        ("a", "1", "G", 0, "rs2", "0|1", "R,H,", 1), ("a", "1", "G", 0, "rs1", "1", "S,T,", 2),
+        ("a", "1", "G", 0, "rs2", "0|1", "R,H,", 3), ("a", "1", "G", 0, "rs2", "0|0", "R,H,", 4),
+        ("a", "1", "G", 0, "rs2", "./.", "R,H,", 5), ("a", "1", "G", 0, "rs2", "0|1:9", "R,H,", 6),
+        ("a", "1", "G", 1, "rs2", "./.", "R,H,", 7), ("b", "1", "G", 0, "rs2", None, "R,H,", 8),
+        ("b", "2", "G", 0, "rs2", "1|1", "R,H,", 9), ("b", "2", "G", 0, "rs2", "1|1", "R,H,", 9),
+        (None, "1", "G", 0, "rs1", "1", "S,T,", 10), ("a", "1", None, 0, "rs1", "1", "S,T,", 11))
+    found = flows.rows_with_strings(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    joined = flows.with_gene_strings(rows, flows.pair_strings(rows)).select(found.columns)
+    ours = Counter(map(tuple, found.collect()))
+    assert ours == Counter(map(tuple, joined.collect()))
+    assert {(r[-2], r[-1]) for r in ours} == {(n, "TRHRR") for n in range(1, 7)} | {(7, None), (8, None), (9, "HH")}
+
+
 def drug_tables(frame):
     categories = ["analgesics", "anti-inflammatory agents", "cyclooxygenase inhibitors", "non-narcotic", "non-steroidal"]
     return {
