@@ -19,6 +19,8 @@ from genoweave.llm import block_anchors, near_copies, packing, rules, toxicity
 from genoweave.llm.common import keep_in, table
 from genoweave.llm.queries import LIBRARY_FILE
 
+#: Cuts in a generation of a packing task's memo: fewer than alone, beside a JVM that the stages before have filled.
+MEMO = 200_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -49,7 +51,7 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens and their places in sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path(LIBRARY_FILE))
+    return packing.pack_documents(docs, public_tokenizers.path(LIBRARY_FILE), memo=MEMO)
 
 
 STAGES = [

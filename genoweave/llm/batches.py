@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 from genoweave.llm.common import keep_in, partitions
 from genoweave.session import scratch_path, scratch_table
 
-#: Bytes of text at which a batch is closed; a longer document is a batch of its own.
+#: Bytes of text at which a batch is closed, unless the operator closes it earlier; a longer document is a batch of its own.
 BATCH_BYTES = 6 << 20
 NO_ID = np.iinfo(np.int64).max
 REQUEST = "shard int, batch long, payload binary"
@@ -74,8 +74,8 @@ def with_added(docs: DataFrame, added: str) -> tuple[DataFrame, StructType]:
     return docs, StructType([*docs.drop("text").schema.fields, *new.fields])
 
 
-def write_batches(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The table of batches and their number. All columns of `docs` but `text` travel in `rest`."""
+def write_batches(docs: DataFrame, most: int = BATCH_BYTES) -> tuple[DataFrame, int]:
+    """The table of batches of about `most` bytes and their number. All columns of `docs` but `text` travel in `rest`."""
     spark = docs.sparkSession
     rows = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.coalesce("text", F.lit(""))})
     fields = [x for x in rows.columns if x != "text"]
@@ -106,7 +106,7 @@ def write_batches(docs: DataFrame) -> tuple[DataFrame, int]:
             for k in range(len(batch)):
                 texts.append(column[k].as_py().encode())
                 size += len(texts[-1])
-                if size >= BATCH_BYTES:
+                if size >= most:
                     held.append(batch.slice(begin, k + 1 - begin).select(fields))
                     yield close()
                     begin, number, size = k + 1, number + 1, 0
@@ -134,9 +134,9 @@ def others(rest: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(expand(rest)).read_next_batch()
 
 
-def shards(batches: DataFrame, count: int) -> int:
-    """How many shards to deal keys to: a fixed number of batches' worth of keys each."""
-    return max(64, 2 * partitions(batches.sparkSession), count // 2)
+def shards(batches: DataFrame, count: int, most: int = BATCH_BYTES) -> int:
+    """How many shards to deal keys to: a fixed amount of text's worth of keys each, in batches of whatever size."""
+    return max(64, 2 * partitions(batches.sparkSession), count * most // (2 * BATCH_BYTES))
 
 
 def ask(requests: DataFrame, judge: Callable[[list[bytes]], list[np.ndarray]]) -> DataFrame:

@@ -44,6 +44,8 @@ from genoweave.llm.batches import (
     write_batches,
 )
 
+#: Bytes of text in a batch. A task's arrays take some twenty times as many, beside a JVM that earlier stages have filled.
+BATCH_BYTES = 2 << 20
 ADDED = "n_words long, n_removed long, spans array<struct<begin: long, end: long>>, kept string"
 
 
@@ -171,8 +173,14 @@ def remove_repeats(docs: DataFrame, window: int = 13, layout: bool = False) -> D
     position) and `kept`: the words that stay, joined by one space, or, with `layout`, the text
     from which removed words are cut with the white space after them."""
     docs, schema = with_added(docs, ADDED)
-    table, number = write_batches(docs)
-    count = shards(table, number)
+    table, number = write_batches(docs, BATCH_BYTES)
+    count = shards(table, number, BATCH_BYTES)
+
+    # A batch's arrays end with the call that made them, so a task holds those of one batch at a time.
+    def extended(row: dict) -> Worded:
+        worded = Worded(row, window, count)
+        worded.extend(row["answers"])
+        return worded
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,21 +192,18 @@ def remove_repeats(docs: DataFrame, window: int = 13, layout: bool = False) -> D
         for batch in batches:
             for k in range(len(batch)):
                 row = batch.slice(k, 1).to_pylist()[0]
-                worded = Worded(row, window, count)
-                worded.extend(row["answers"])
-                yield worded.lookups(row["batch"])
+                yield extended(row).lookups(row["batch"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
-                row = batch.slice(k, 1).to_pylist()[0]
-                worded = Worded(row, window, count)
-                worded.extend(row["answers"])
-                covered = worded.repeated(row["found"])
-                yield from _rows(row, worded, covered)
-
+                whole = _rows(batch.slice(k, 1).to_pylist()[0])
+                for begin in range(0, len(whole), 1000):
+                    yield whole.slice(begin, 1000)
 
-    def _rows(row: dict, worded: Worded, covered: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def _rows(row: dict) -> pa.RecordBatch:
+        worded = extended(row)
+        covered = worded.repeated(row["found"])
         rest, text = others(row["rest"]), worded.batch.text
         removed, held, kept = [], [], []
         for k, (first, n) in enumerate(zip(worded.first.tolist(), worded.n.tolist())):
@@ -222,9 +227,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, layout: bool = False) -> D
             pa.array(held, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
             pa.array(kept, pa.string()),
         ]
-        whole = pa.RecordBatch.from_arrays([*rest.columns, *added], [*rest.schema.names, "n_words", "n_removed", "spans", "kept"])
-        for begin in range(0, len(whole), 1000):
-            yield whole.slice(begin, 1000)
+        return pa.RecordBatch.from_arrays([*rest.columns, *added], [*rest.schema.names, "n_words", "n_removed", "spans", "kept"])
 
     hits = ask(table.select("batch", "doc_ids", "sizes", "text").mapInArrow(probe, REQUEST), judge_probes)
     near = table.select("batch", "doc_ids", "sizes", "text").join(hits, "batch", "left")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import documents, keep_in, slices
-from genoweave.llm.tokens import library_encoder
+from genoweave.llm.tokens import MEMO, library_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -37,14 +37,14 @@ PACKED = PIECES + ", sequence_id long, offset long"
 PART_ROWS = 20_000
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, memo: int = MEMO) -> DataFrame:
     """One row per piece, with the checksum of its ids but without them."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(tokenizer)
+        encoder = library_encoder(tokenizer, memo)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 rows = []
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder(part.column("text").to_pylist())):
                     ids, start, number = ids + end, 0, 0
@@ -153,9 +153,9 @@ def pack_pieces(pieces: DataFrame, size: int) -> DataFrame:
     return out
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2) -> DataFrame:
-    """The place of every piece of every document: `sequence_id` and `offset`."""
-    return pack_pieces(keep_in(cut_pieces(docs, tokenizer, size, end_id), "pieces"), size)
+def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, memo: int = MEMO) -> DataFrame:
+    """The place of every piece of every document: `sequence_id` and `offset`. `memo` bounds what a task remembers of the tokenizer's work."""
+    return pack_pieces(keep_in(cut_pieces(docs, tokenizer, size, end_id, memo), "pieces"), size)
 
 
 def sequences(docs: DataFrame, places: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:

@@ -127,8 +127,8 @@ def cuts_hold(tokenizer) -> bool:
 
 
 @lru_cache(maxsize=4)
-def library_encoder(path: str) -> Encoder | WholeEncoder:
-    """Ids by a tokenizers file, without special tokens; their strings in a text are plain text."""
+def library_encoder(path: str, memo: int = MEMO) -> Encoder | WholeEncoder:
+    """Ids by a tokenizers file, without special tokens; their strings in a text are plain text. `memo`: cuts in a generation of the memo."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -163,7 +163,7 @@ def library_encoder(path: str) -> Encoder | WholeEncoder:
                 out[k] = np.array(x.ids, dtype="<u4").tobytes()
         return out
 
-    return Encoder(many)
+    return Encoder(many, 2 * memo)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -3,11 +3,13 @@
 import hashlib
 import re
 import tempfile
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from genoweave.llm import block_anchors, induced_sort, simhash, suffix_shards
 from genoweave.llm.components import components
@@ -186,3 +188,26 @@ def test_kept_digest_of_query(spark, tmp_path):
 
     got = {r["doc_id"]: r["kept_sha256"] for r in QUERIES["op2_block_anchors"](spark, str(tmp_path)).collect()}
     assert got == {1: hashlib.sha256(b"a b").hexdigest(), 2: hashlib.sha256(b"").hexdigest()}
+
+
+def test_memory_of_a_batch_of_words(spark, monkeypatch):
+    """Arrays of one batch, beside a JVM that earlier stages have filled."""
+    hashed = F.transform(F.sequence(F.lit(0), F.lit(20_000)), lambda k: F.hex(F.xxhash64("id", k % 19_000)))
+    docs = spark.range(24).coalesce(1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", hashed).alias("text"))
+    tables, write = [], block_anchors.write_batches
+
+    def kept(*args):
+        tables.append(write(*args))
+        return tables[-1]
+
+    monkeypatch.setattr(block_anchors, "write_batches", kept)
+    assert block_anchors.remove_repeats(docs).count() == 24
+    table, number = tables[0]
+    assert number > 2
+    row = max(table.select("doc_ids", "sizes", "text").collect(), key=lambda r: len(r["text"])).asDict()
+    tracemalloc.start()
+    worded = block_anchors.Worded(row, 13, 64)
+    worded.extend(None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20

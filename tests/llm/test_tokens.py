@@ -169,3 +169,12 @@ def test_sequences(spark, direct):
 
 def test_nothing_to_pack(no_docs):
     assert packing.pack_documents(no_docs, LIBRARY).count() == 0
+
+
+def test_memo_bound(direct):
+    """A small memo forgets cuts, and the ids stay those of the library."""
+    encoder = tokens.library_encoder(LIBRARY, 50)
+    for k in range(20):
+        texts = [" ".join(f"word{k}x{i}" for i in range(40))]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == [direct(x) for x in texts]
+    assert len(encoder.memo) + len(encoder.older) < 250
