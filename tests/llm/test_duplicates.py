@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from genoweave.llm import block_anchors, induced_sort, simhash, suffix_shards
+from genoweave.llm.batches import planes, squeeze
 from genoweave.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -91,6 +92,109 @@ def test_no_bytes(no_docs):
     assert suffix_shards.remove_repeats(no_docs).count() == 0
 
 
+def batch_row(docs):
+    ids, texts = [i for i, _ in docs], [x for _, x in docs]
+    sizes = np.array([len(x) for x in texts], "<i8")
+    return {"doc_ids": np.array(ids, "<i8").tobytes(), "sizes": sizes.tobytes(), "text": squeeze(b"".join(x + b"\n" for x in texts))}
+
+
+def answered(requests, judge):
+    """What `ask` returns, by batch."""
+    by_shard, answers = {}, {}
+    for request in requests:
+        for x in request.to_pylist():
+            by_shard.setdefault(x["shard"], []).append(x)
+    for shard, some in by_shard.items():
+        for x, bits in zip(some, judge([x["payload"] for x in some]), strict=True):
+            answers.setdefault(x["batch"], []).append({"shard": shard, "bits": squeeze(np.packbits(bits).tobytes())})
+    return answers
+
+
+@pytest.mark.parametrize("limits", [(7, 300, 100), (50, 1000, 60), (1 << 18, 1 << 22, 200)])
+def test_bytes_by_slices(limits, monkeypatch):
+    """Slices, blocks and sorts that are smaller than a document change nothing."""
+    for name, value in zip(("SLICE", "BLOCK", "MOST"), limits):
+        monkeypatch.setattr(suffix_shards, name, value)
+    rng = np.random.default_rng(5)
+    shared = bytes(rng.integers(97, 100, 400).astype(np.uint8))
+    docs = [(0, b""), (9, b"a" * 300), (3, b"a" * 200), (8, shared), (8, shared)]
+    for k in range(40):
+        a, b = sorted(rng.integers(0, 400, 2).tolist())
+        docs.append((k, bytes(rng.integers(97, 99, 70).astype(np.uint8)) + shared[a:b] + b"xy" * int(rng.integers(0, 60))))
+    parts = [docs[:12], docs[12:30], docs[30:]]
+    for length in (16, 31, 50):
+        held = [suffix_shards.Anchored(batch_row(x), length, 2) for x in parts]
+        hits = answered([x.anchors(k) for k, x in enumerate(held)], suffix_shards.judge_anchors)
+        for k, x in enumerate(held):
+            x.segment(hits.get(k))
+        found = answered([x.segments(k) for k, x in enumerate(held)], lambda x: suffix_shards.judge_segments(x, length))
+        expected = [bytes(x) for x in repeated(docs, length)]
+        got = []
+        for k, x in enumerate(held):
+            covered = x.repeated(found.get(k))
+            got += [bytes(covered[a:b].astype(np.uint8)) for a, b in zip(x.batch.begins, x.batch.ends)]
+        assert got == expected and any(map(any, got))
+
+
+def test_one_anchor_of_a_shard_in_bounded_memory():
+    """All segments of the shard have one anchor and differ, so they were one sort of 200 MB."""
+    length, n = 50, 30_000
+    rng = np.random.default_rng(11)
+    grams = rng.integers(97, 123, (1 << 20, 16)).astype(np.uint8)
+    flat = suffix_shards.gram_hashes(grams.ravel())[::16]
+    gram = grams[int(np.argmin(flat))]
+    around = rng.integers(97, 123, (n, 84)).astype(np.uint8)
+    around[:, 34:50] = gram
+    around[n // 2 :, :83] = around[: n - n // 2, :83]  # all but the last byte of another one
+    ids = rng.permutation(n)
+    payloads, requests = [], np.array_split(np.arange(n), 30)
+    for some in requests:
+        numbers = squeeze(planes(np.full(len(some), 35, "<i8"))), squeeze(planes(ids[some].astype("<i8")))
+        payloads.append(b"".join([len(x).to_bytes(4, "little") for x in numbers]) + b"".join(numbers) + squeeze(around[some].tobytes()))
+    tracemalloc.start()
+    got = suffix_shards.judge_segments(payloads, length)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    least = {}
+    for i, x in zip(ids.tolist(), map(bytes, around)):
+        for k in range(35):
+            least[x[k : k + length]] = min(least.get(x[k : k + length], LAST), i)
+    expected = [[least[x[k : k + length]] < i for k in range(35)] for i, x in zip(ids.tolist(), map(bytes, around))]
+    assert [x.tolist() for x in got] == [sum((expected[k] for k in some), []) for some in requests]
+    assert peak < 120 << 20
+
+
+def test_one_text_many_times_is_one_content(monkeypatch):
+    monkeypatch.setattr(suffix_shards, "BLOCK", 200)
+    text = b"Is onhe. " * 10 + b"By onhe. " * 10
+    many = np.zeros(100, np.int64)
+    same = suffix_shards.Segments(text, many, many + 30, many, 50)
+    assert same.distinct().tolist() == [0] * 100
+    assert suffix_shards.Segments(text, np.arange(100), many + 30, many, 50).distinct() is None
+
+
+def test_arrays_of_a_batch_of_bytes():
+    rng = np.random.default_rng(12)
+    texts = rng.integers(97, 123, (1500, 4000)).astype(np.uint8)
+    texts[750:, :2000], texts[750:, 2000] = texts[:750, :2000], 65
+    row = batch_row([(k, x.tobytes()) for k, x in enumerate(texts)])
+    anchored = suffix_shards.Anchored(row, 50, 64)
+    every = [{"shard": k, "bits": squeeze(np.packbits(np.ones(n, bool)).tobytes())} for k, n in enumerate(anchored.counts.tolist())]
+    anchored.segment(every)
+    found = answered([anchored.segments(0)], lambda x: suffix_shards.judge_segments(x, 50))
+    del anchored
+    tracemalloc.start()
+    anchored = suffix_shards.Anchored(row, 50, 64)
+    anchored.segment(every)
+    covered = anchored.repeated(found[0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    expected = np.zeros((1500, 4001), bool)
+    expected[750:, :2000] = True
+    assert (covered == expected.ravel()).all()
+    assert peak < 16 * texts.size
+
+
 @pytest.mark.parametrize("held", [4, 1 << 19])
 def test_suffix_order(held, monkeypatch):
     monkeypatch.setattr(induced_sort, "HELD", held)
